@@ -104,7 +104,7 @@ def root_cause_text(description: Column, primary: Column, correlated: Column, ac
 def parse_root_cause(text: Column) -> dict[str, Column]:
     """Take a root cause text apart: summary, primary and correlated metrics, action."""
     def names(pattern: str) -> Column:
-        items = F.transform(F.split(F.regexp_extract(text, pattern, 1), ","), F.trim)
+        items = F.transform(F.split(F.regexp_extract(text, pattern, 1), ","), lambda item: F.trim(item))
         return F.filter(items, lambda item: (item != "") & (F.lower(item) != "none"))
 
     first_sentence = F.trim(F.regexp_extract(text, r"^([^.]+\.)", 1))
