@@ -1,9 +1,13 @@
-"""Exact percentiles that never hold a whole group in one task.
+"""Exact percentiles that never hold a large group in one task.
 
-Pass 1 counts values per group in narrow bins whose numbers grow with the value; the counts are
-combined before the shuffle. The running count over a group's bins tells which bins hold the
-wanted ranks. Pass 2 keeps only the values of those bins and ranks them there. A group that holds
-a third of all rows is thus spread over its bins like any other data.
+Groups up to a row limit use Spark's exact percentile, whose state is then bounded. Groups above
+the limit go another way. Their values are counted in narrow bins whose numbers grow with the
+value; the counts are combined before the shuffle. The running count over a group's bins tells
+which bins hold the wanted ranks, and a second pass ranks only the values of those bins. A group
+that holds a third of all rows is thus spread over its bins like any other data.
+
+Both broadcasts below are bounded by the limit: of N rows, at most N / limit groups are large, and
+each has two bins per percentile.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import functions as F
 # 256 bins per factor of two; the offset exceeds 369.33 times the largest logarithm of a double.
 BINS_PER_E = 369.3299304675746
 OFFSET = 400000
+LARGE_GROUP = 500_000
 
 
 def value_bin(value: Column) -> Column:
@@ -35,26 +40,39 @@ def grouped_profile(
     probabilities: dict[str, float],
     sums: dict[str, Column] | None = None,
     exact: bool = True,
+    large_group: int = LARGE_GROUP,
 ) -> DataFrame:
     """Per key: `n_values` (non-null), the given sums, and one linearly interpolated percentile per name.
 
     With `exact=False` the percentiles come from Spark's bounded approximate sketch in one pass.
     """
-    sums = sums or {}
+    rows = df.select(
+        *keys, F.col(value).cast("double").alias("_v"), *[col.alias(name) for name, col in (sums or {}).items()],
+    )
+    names, points = list(probabilities), list(probabilities.values())
+    columns = [*keys, "n_values", *(sums or {}), *names]
+    totals = [F.count("_v").alias("n_values"), *[F.sum(name).alias(name) for name in sums or {}]]
     if not exact:
-        return df.groupBy(*keys).agg(
-            F.count(value).alias("n_values"),
-            *[F.sum(col).alias(name) for name, col in sums.items()],
-            *[F.percentile_approx(value, p, 10000).alias(name) for name, p in probabilities.items()],
-        )
-
-    binned = df.select(
-        *keys, F.col(value).cast("double").alias("_v"),
-        *[col.alias(name) for name, col in sums.items()],
-    ).withColumn("_b", value_bin(F.col("_v")))
-    bins = binned.groupBy(*keys, "_b").agg(
-        F.count("_v").alias("_n"), *[F.sum(name).alias(name) for name in sums],
+        sketch = [F.percentile_approx("_v", p, 10000).alias(name) for name, p in probabilities.items()]
+        return rows.groupBy(*keys).agg(*totals, *sketch).select(*columns)
+
+    large = F.broadcast(
+        rows.where(F.col("_v").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+        .where(F.col("_size") > large_group).drop("_size")
+    )
+    small_rows = rows.join(large, _same(rows, large, keys), "left_anti")
+    at_points = F.percentile("_v", F.array(*map(F.lit, points)))
+    small = small_rows.groupBy(*keys).agg(*totals, at_points.alias("_p")).select(
+        *[c for c in columns if c not in names], *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(names)],
     )
+    large_rows = rows.join(large, _same(rows, large, keys), "left_semi")
+    return small.unionByName(_binned_profile(large_rows, keys, probabilities, list(sums or {})).select(*columns))
+
+
+def _binned_profile(rows: DataFrame, keys: list[str], probabilities: dict[str, float], sums: list[str]) -> DataFrame:
+    """The profile of groups that have values, by bin counts and a second look at the bins that matter."""
+    binned = rows.withColumn("_b", value_bin(F.col("_v")))
+    bins = binned.groupBy(*keys, "_b").agg(F.count("_v").alias("_n"), *[F.sum(name).alias(name) for name in sums])
     group = Window.partitionBy(*keys)
     below = group.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     placed = bins.select(
@@ -73,7 +91,7 @@ def grouped_profile(
     wanted_ranks = [edge(rank(p)) for p in probabilities.values() for edge in (F.floor, F.ceil)]
     wanted = reduce(lambda a, b: a | b, [holds(r, F.col("_before"), F.col("_n")) for r in wanted_ranks])
     totals = [*keys, "n_values", *sums]
-    hits = placed.where(wanted).drop("_n")
+    hits = F.broadcast(placed.where(wanted).drop("_n"))
     values = binned.select(*keys, "_b", "_v").where(F.col("_v").isNotNull())
     kept = (
         values.alias("v").join(hits.alias("h"), _same(values, hits, [*keys, "_b"]))
@@ -96,8 +114,4 @@ def grouped_profile(
         (F.col(f"_lo{i}") + (rank(p) - F.floor(rank(p))) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name)
         for i, (name, p) in enumerate(probabilities.items())
     ]
-    with_values = picked.select(*totals, *interpolated)
-    without_values = placed.where(F.col("n_values") == 0).select(
-        *totals, *[F.lit(None).cast("double").alias(name) for name in probabilities],
-    )
-    return with_values.unionByName(without_values)
+    return picked.select(*totals, *interpolated)

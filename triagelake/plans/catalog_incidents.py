@@ -4,13 +4,13 @@ from pyspark.sql import functions as F
 
 from triagelake.functions.scores import rounded
 from triagelake.operators import diagnose, evaluation, reports
-from triagelake.operators.baselines import latest_baseline, metric_baselines
-from triagelake.operators.detect import detect_anomalies, incidents_from_anomalies
+from triagelake.operators.baselines import metric_baselines
 from triagelake.plans import event_views as views
 from triagelake.plans import jobs
 from triagelake.plans import sql_views as q
 from triagelake.plans.catalog_tables import BASELINE_OUT_SQL, rounded_baselines
 from triagelake.plans.registry import query
+from triagelake.session import materialize
 
 HOUR = "1 hour"
 AROUND = 360
@@ -24,8 +24,8 @@ DIAGNOSIS = PENDING + q.diagnosis("pending", "6 HOUR", 1.0)
 
 def _inputs(spark, sf):
     ev = views.events(spark, sf)
-    metrics = views.event_metrics(ev, HOUR)
-    return views.event_incidents(ev), metrics, metric_baselines(metrics)
+    metrics = views.stored_metrics(ev, HOUR)
+    return views.event_incidents(ev), metrics, materialize(metric_baselines(metrics), "baselines")
 
 
 def _window(spark, sf):
@@ -334,7 +334,7 @@ def list_metrics(spark, sf):
 
 @query("list_baselines", f"WITH {q.baselines('6 hours')} SELECT {BASELINE_OUT_SQL} FROM baselines WHERE service_name = 'svc-5'")
 def list_baselines(spark, sf):
-    metrics = views.event_metrics(views.events(spark, sf), "6 hours")
+    metrics = views.stored_metrics(views.events(spark, sf), "6 hours")
     stored = metric_baselines(metrics).withColumn("created_at", F.lit("2024-02-01").cast("timestamp"))
     return rounded_baselines(reports.list_baselines(stored, "svc-5"))
 
@@ -408,5 +408,3 @@ def run_all(spark, sf):
         "timestamp", "service_name", "incident_type", "severity", "confidence_score"
     )
 
-
-__all__ = ["detect_anomalies", "incidents_from_anomalies", "latest_baseline"]

@@ -9,6 +9,7 @@ from triagelake.plans import jobs
 from triagelake.plans import sql_views as q
 from triagelake.plans.catalog_tables import BASELINE_OUT_SQL, rounded_baselines
 from triagelake.plans.registry import query
+from triagelake.session import materialize
 
 BUCKET = "6 hours"
 START = f"time_bucket(INTERVAL '{BUCKET}', timestamp_dt)"
@@ -122,13 +123,13 @@ def unpivot(spark, sf):
 FROM metrics GROUP BY timestamp""")
 def pivot(spark, sf):
     names = ["error_rate", "cpu_usage", "db_connections"]
-    wide = rollup.pivot_metrics(views.event_metrics(views.events(spark, sf), BUCKET), names)
+    wide = rollup.pivot_metrics(views.stored_metrics(views.events(spark, sf), BUCKET), names)
     return wide.select("timestamp", *[rounded(F.col(n), 4).alias(n) for n in names])
 
 
 @query("metric_baselines", f"WITH {q.baselines(BUCKET)} SELECT {BASELINE_OUT_SQL} FROM baselines")
 def metric_baselines(spark, sf):
-    return rounded_baselines(baselines.metric_baselines(views.event_metrics(views.events(spark, sf), BUCKET)))
+    return rounded_baselines(baselines.metric_baselines(views.stored_metrics(views.events(spark, sf), BUCKET)))
 
 
 @query("value_baselines", f"""WITH items AS (SELECT l_shipdate AS timestamp, l_returnflag AS service_name,
@@ -175,7 +176,7 @@ def latency_baseline(spark, sf):
   SELECT * FROM baselines UNION ALL SELECT * FROM rate_stats UNION ALL SELECT * FROM lat)
 SELECT {BASELINE_OUT_SQL} FROM all_""")
 def compute_baselines(spark, sf):
-    metrics = views.event_metrics(views.events(spark, sf), BUCKET)
+    metrics = views.stored_metrics(views.events(spark, sf), BUCKET)
     return rounded_baselines(jobs.compute_baselines(metrics, _hourly_logs(spark, sf)))
 
 
@@ -200,7 +201,7 @@ def latest_baseline(spark, sf):
 @query("latest_readings", f"""WITH {q.metrics(BUCKET)} SELECT timestamp, service_name, metric_name, metric_value FROM metrics
 WHERE source = 'logs' QUALIFY row_number() OVER (PARTITION BY service_name ORDER BY timestamp DESC, metric_name) <= 50""")
 def latest_readings(spark, sf):
-    metrics = views.event_metrics(views.events(spark, sf), BUCKET)
+    metrics = views.stored_metrics(views.events(spark, sf), BUCKET)
     return detect.latest_readings(metrics, 50, "logs").select("timestamp", "service_name", "metric_name", "metric_value")
 
 
@@ -208,7 +209,7 @@ def latest_readings(spark, sf):
   {q.fixed('b.mean', 4)} AS baseline_mean, {q.fixed('b.stddev', 4)} AS baseline_stddev
 FROM metrics m JOIN baselines b USING (service_name, metric_name)""")
 def join_baseline(spark, sf):
-    metrics = views.event_metrics(views.events(spark, sf), BUCKET)
+    metrics = views.stored_metrics(views.events(spark, sf), BUCKET)
     joined = detect.join_latest_baseline(metrics, baselines.metric_baselines(metrics, 600))
     return joined.select(
         "timestamp", "service_name", "metric_name", "metric_value",
@@ -217,13 +218,13 @@ def join_baseline(spark, sf):
     )
 
 
-SEMI_GATE = 825
+SEMI_GATE = 780
 
 
 @query("services_with_baseline", f"""WITH {q.baselines(BUCKET, SEMI_GATE)} SELECT timestamp, service_name, metric_name FROM metrics m
 WHERE EXISTS (SELECT 1 FROM baselines b WHERE b.service_name = m.service_name)""")
 def services_with_baseline(spark, sf):
-    metrics = views.event_metrics(views.events(spark, sf), BUCKET)
+    metrics = views.stored_metrics(views.events(spark, sf), BUCKET)
     kept = detect.services_with_baseline(metrics, baselines.metric_baselines(metrics, SEMI_GATE))
     return kept.select("timestamp", "service_name", "metric_name")
 
@@ -239,7 +240,7 @@ def _rounded_anomalies(found):
 
 @query("detect_anomalies", _anomaly_sql(q.anomalies(BUCKET)))
 def detect_anomalies(spark, sf):
-    metrics = views.event_metrics(views.events(spark, sf), BUCKET)
+    metrics = views.stored_metrics(views.events(spark, sf), BUCKET)
     return _rounded_anomalies(detect.detect_anomalies(metrics, baselines.metric_baselines(metrics)))
 
 
@@ -248,12 +249,12 @@ def detect_anomalies(spark, sf):
 ))
 def detect_anomalies_infra(spark, sf):
     """Without log-derived readings all other readings are scanned."""
-    metrics = views.infra_metrics(views.events(spark, sf), BUCKET)
+    metrics = materialize(views.infra_metrics(views.events(spark, sf), BUCKET), "metrics")
     return _rounded_anomalies(detect.detect_anomalies(metrics, baselines.metric_baselines(metrics), sigma=2.5))
 
 
 def _incidents(spark, sf, sigma=3.0):
-    metrics = views.event_metrics(views.events(spark, sf), BUCKET)
+    metrics = views.stored_metrics(views.events(spark, sf), BUCKET)
     return detect.incidents_from_anomalies(
         detect.detect_anomalies(metrics, baselines.metric_baselines(metrics), sigma)
     )
@@ -270,8 +271,8 @@ def incidents(spark, sf):
 FROM found WHERE severity <> 'low'""")
 def create_incidents(spark, sf):
     """The incidents of a run next to those an earlier run stored: only new keys are added."""
-    metrics = views.event_metrics(views.events(spark, sf), BUCKET)
-    anomalies = detect.detect_anomalies(metrics, baselines.metric_baselines(metrics))
+    metrics = views.stored_metrics(views.events(spark, sf), BUCKET)
+    anomalies = materialize(detect.detect_anomalies(metrics, baselines.metric_baselines(metrics)), "anomalies")
     earlier = detect.incidents_from_anomalies(anomalies).where("severity = 'low'")
     return detect.create_incidents(anomalies, earlier).select(
         "timestamp", "service_name", "incident_type", "severity", "confidence_score"
@@ -283,8 +284,8 @@ SELECT (SELECT count(*) FROM anomalies) AS anomalies, (SELECT count(*) FROM foun
   count(*) AS incidents_total, count(root_cause) AS diagnosed, count(*) - count(root_cause) AS undiagnosed FROM incidents""")
 def run_summary(spark, sf):
     ev = views.events(spark, sf)
-    metrics = views.event_metrics(ev, BUCKET)
-    anomalies = detect.detect_anomalies(metrics, baselines.metric_baselines(metrics))
+    metrics = views.stored_metrics(ev, BUCKET)
+    anomalies = materialize(detect.detect_anomalies(metrics, baselines.metric_baselines(metrics)), "anomalies")
     return detect.run_summary(anomalies, detect.incidents_from_anomalies(anomalies), views.event_incidents(ev))
 
 

@@ -8,7 +8,7 @@ from triagelake.plans import event_views as views
 from triagelake.plans import sql_views as q
 from triagelake.plans.registry import query
 from triagelake.schemas import BASELINE, INCIDENT, METRIC
-from triagelake.session import scratch_path
+from triagelake.session import materialize, scratch_path
 from triagelake.sources import tables
 from triagelake.sources.documents import read_log_docs, scan_docs, to_json_lines, to_log_documents, write_log_documents
 from triagelake.sources.log_files import (
@@ -153,7 +153,7 @@ def dataset_stats(spark, sf):
 
 def _metric_batches(ev):
     """Three overlapping batches: all series, a corrected part, and infra values."""
-    base = views.log_metrics(ev, "6 hours")
+    base = materialize(views.log_metrics(ev, "6 hours"), "metrics")
     fixed = base.where("service_name IN ('svc-1', 'svc-2')").withColumn(
         "metric_value", rounded(F.col("metric_value") * 2, 4)
     ).withColumn("source", F.lit("opensearch"))
@@ -214,7 +214,7 @@ def _baseline_batches(spark, sf):
     from triagelake.operators.baselines import metric_baselines
 
     ev = views.events(spark, sf)
-    metrics = views.log_metrics(ev, "6 hours")
+    metrics = materialize(views.log_metrics(ev, "6 hours"), "metrics")
     stamp = F.lit("2024-02-01").cast("timestamp")
     whole = metric_baselines(metrics).withColumn("created_at", stamp)
     recent = metric_baselines(metrics, since=F.lit("2024-01-16").cast("timestamp"))

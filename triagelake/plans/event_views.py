@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from triagelake.functions.scores import confidence, incident_description, root_cause_text, rounded
 from triagelake.functions.times import bucket_start, minutes
-from triagelake.operators.rollup import aggregate_to_metrics, unpivot_buckets
+from triagelake.operators.rollup import aggregate_to_metrics
 from triagelake.schemas import RULES
+from triagelake.session import materialize
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 ROWS_PER_BLOCK = 65536
@@ -130,6 +131,11 @@ def event_metrics(ev: DataFrame, bucket: str) -> DataFrame:
     return log_metrics(ev, bucket).unionByName(infra_metrics(ev, bucket))
 
 
+def stored_metrics(ev: DataFrame, bucket: str) -> DataFrame:
+    """The same as a stored table, the form in which later stages find metrics."""
+    return materialize(event_metrics(ev, bucket), "metrics")
+
+
 def _incident_type() -> Column:
     return (
         F.when(F.col("k") % 4 == 0, "error_spike").when(F.col("k") % 4 == 1, "latency_spike")
@@ -183,8 +189,3 @@ def as_of(ev: DataFrame) -> Column:
     """A fixed point in time inside the events' range."""
     return F.lit("2024-01-30 12:00:00").cast("timestamp")
 
-
-__all__ = [
-    "as_of", "event_incidents", "event_labels", "event_lines", "event_logs", "event_metrics", "event_rows",
-    "events", "infra_metrics", "log_metrics", "table", "unpivot_buckets",
-]

@@ -1,8 +1,7 @@
 """The jobs a user runs: ingest, baselines, detection, diagnosis, evaluation.
 
-Each function is a lazy plan from DataFrames to a DataFrame. `run_all` writes every stage to a
-table and reads the next stage's input back from it, so a lost executor repeats one stage at most
-and no stage is planned twice.
+`run_all` writes every stage to a table and reads the next stage's input back from it, so a lost
+executor repeats one stage at most and no stage is computed twice.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from triagelake.operators.diagnose import diagnose_incidents
 from triagelake.operators.rollup import aggregate_to_metrics, bucket_profile, buckets_to_metrics, scroll_to_metrics
 from triagelake.operators.upserts import set_root_cause, union_sources
 from triagelake.schemas import BASELINE, INCIDENT, LOG, METRIC
+from triagelake.session import materialize
 from triagelake.sources import tables
 from triagelake.sources.cloud import normalize_cloud_metric, read_cloud_datapoints
 from triagelake.sources.log_files import entries_from_rows, parse_entries, read_logs
@@ -88,9 +88,14 @@ def triage(
     elevated_sigma: float | None = None,
     elevated_by: str = "mean",
 ) -> DataFrame:
-    """Metrics to diagnosed incidents in one lazy plan: baselines, anomalies, incidents, root causes."""
-    baselines = metric_baselines(metrics, min_samples)
-    incidents = detect.incidents_from_anomalies(detect.detect_anomalies(metrics, baselines, sigma))
+    """Metrics to diagnosed incidents: baselines, anomalies, incidents, root causes.
+
+    Metrics, baselines and incidents are each used several times, so each is stored once.
+    """
+    metrics = materialize(metrics, "metrics")
+    baselines = materialize(metric_baselines(metrics, min_samples), "baselines")
+    found = detect.incidents_from_anomalies(detect.detect_anomalies(metrics, baselines, sigma))
+    incidents = materialize(found, "incidents")
     causes = diagnose_incidents(
         incidents, metrics, baselines, window_minutes, elevated_sigma or sigma, elevated_by=elevated_by
     )

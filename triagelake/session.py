@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "triagelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,3 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/triagelake/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a stage's result below the shared folder and read it back.
+
+    Later stages then scan its columns instead of repeating its work, and a lost executor does not
+    reach back beyond it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
