@@ -26,7 +26,7 @@ def strip(col: Column) -> Column:
 
 def strip_ansi(col: Column) -> Column:
     """Remove terminal colour codes."""
-    return F.regexp_replace(col, ANSI, "")
+    return F.when(F.contains(col, F.lit("\x1b")), F.regexp_replace(col, ANSI, "")).otherwise(col)
 
 
 def parse_lines(df: DataFrame, message: str = "message") -> DataFrame:
@@ -49,12 +49,20 @@ def parse_lines(df: DataFrame, message: str = "message") -> DataFrame:
     def when_parsed(col: Column) -> Column:
         return F.when(F.col("parsed"), col)
 
+    # Without a further `|` there is no request id, and the time is the head up to its last colon.
+    with_req = F.contains("_head", F.lit("|"))
+    bare = strip(F.col("_head"))
+    req_id = F.when(with_req, strip(F.regexp_extract("_head", LINE_HEAD, 1))).otherwise("")
+    stamp = F.when(with_req, F.regexp_extract("_head", LINE_HEAD, 2)).otherwise(
+        F.substring(bare, F.lit(1), F.length(bare) - 1)
+    )
+
     return ok.withColumns({
         "level": when_parsed(F.lower(strip(F.get("_parts", F.lit(0))))),
         "correlation_id": when_parsed(strip(F.get("_parts", F.lit(1)))),
         "tenant_id": when_parsed(strip(F.get("_parts", F.lit(2)))),
-        "req_id": when_parsed(strip(F.regexp_extract("_head", LINE_HEAD, 1))),
-        "timestamp": when_parsed(strip(F.regexp_extract("_head", LINE_HEAD, 2))),
+        "req_id": when_parsed(req_id),
+        "timestamp": when_parsed(strip(stamp)),
         "log_text": when_parsed(strip(F.substring(rest, F.length("_head") + 1, F.length(rest)))),
     }).drop("_clean", "_parts", "_head")
 
@@ -67,24 +75,42 @@ def extract_latency_ms(text: Column) -> Column:
 def extract_status_code(text: Column) -> Column:
     """HTTP status of an end-of-request line; null outside 100 to 599."""
     code = F.regexp_extract(text, STATUS, 3).try_cast("int")
-    return F.when(code.between(100, 599), code)
+    return F.get(F.filter(F.array(code), lambda c: c.between(100, 599)), F.lit(0))
 
 
-def has_error_keyword(text: Column) -> Column:
-    lowered = F.lower(text)
+def has_error_keyword(lowered: Column) -> Column:
+    """Any error keyword in text that is already in lower case."""
     return reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(word)) for word in ERROR_KEYWORDS])
 
 
-def is_error(level: Column, text: Column | None = None, policy: str = "logs") -> Column:
-    """`logs`: five levels or any keyword in the text; `docs`: three levels only."""
+def is_error(level: Column, lowered: Column | None = None, policy: str = "logs") -> Column:
+    """`logs`: five levels or any keyword in the lower-case text; `docs`: three levels only."""
     if policy == "docs":
         return F.coalesce(F.upper(level).isin(DOC_ERROR_LEVELS), F.lit(False))
     if policy != "logs":
         raise ValueError(f"unknown error policy: {policy}")
     by_level = F.coalesce(level.isin(ERROR_LEVELS), F.lit(False))
-    if text is None:
+    if lowered is None:
         return by_level
-    return by_level | F.coalesce(has_error_keyword(text), F.lit(False))
+    return by_level | F.coalesce(has_error_keyword(lowered), F.lit(False))
+
+
+def enrich(df: DataFrame, text: str = "log_text", level: str = "level") -> DataFrame:
+    """Add status_code, latency_ms and is_error of a log text.
+
+    The lower-case text is made once per row; the two expressions of end-of-request lines run only
+    on texts that name one.
+    """
+    ended = F.contains("_lower", F.lit("[end request]"))
+    return (
+        df.withColumn("_lower", F.lower(text))
+        .withColumns({
+            "status_code": F.when(ended, extract_status_code(F.col(text))),
+            "latency_ms": F.when(ended, extract_latency_ms(F.col(text))),
+            "is_error": F.when(F.col("_lower").isNotNull(), is_error(F.col(level), F.col("_lower"))),
+        })
+        .drop("_lower")
+    )
 
 
 def valid_epoch_ms(col: Column) -> Column:

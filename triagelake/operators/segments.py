@@ -11,19 +11,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from triagelake.session import broadcast_if_small, materialize
+
 
 def with_owner_block(rows: DataFrame, file: list[str], block: str, pos: str, opens: Column) -> DataFrame:
     """Add `_opens` and `_owner`, the block that holds the opener of each row; orphans are dropped.
 
     Rows before the first opener of their block belong to the latest earlier block that has one.
     The per-block table is aggregated before its shuffle; the window over it sees one row per
-    block.
+    block. It is stored at once and broadcast if its count allows, so that the rows themselves need
+    no shuffle here.
     """
     flagged = rows.withColumn("_opens", opens)
     blocks = flagged.groupBy(*file, block).agg(F.min(F.when(F.col("_opens"), F.col(pos))).alias("_first_open"))
     earlier = Window.partitionBy(*file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     carried = F.last(F.when(F.col("_first_open").isNotNull(), F.col(block)), ignorenulls=True)
-    table = blocks.withColumn("_carried", carried.over(earlier))
+    table = broadcast_if_small(materialize(blocks.withColumn("_carried", carried.over(earlier)), "blocks"))
     return (
         flagged.join(table, [*file, block])
         .withColumn(

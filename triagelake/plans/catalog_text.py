@@ -47,7 +47,7 @@ def is_error(spark, sf):
     """Keywords anywhere in whole documents."""
     docs = views.table(spark, sf, "documents")
     return docs.select(
-        "doc_id", text.is_error(F.col("lang"), F.col("text")).alias("logs_policy"),
+        "doc_id", text.is_error(F.col("lang"), F.lower("text")).alias("logs_policy"),
         text.is_error(F.col("source"), policy="docs").alias("docs_policy"),
     )
 

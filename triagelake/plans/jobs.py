@@ -27,9 +27,10 @@ from triagelake.sources.log_files import entries_from_rows, parse_entries, read_
 
 
 def ingest_rows(rows: DataFrame, file: list[str], bucket: str = "5 minutes", aligned: bool = False) -> DataFrame:
-    """Raw (file, block, rid, ts_ms, message) rows to metric rows."""
+    """Raw (file, block, rid, ts_ms, message) rows to metric rows; entries are parsed and stored once."""
     logs = parse_entries(entries_from_rows(rows, file, aligned)).where("parsed")
-    return aggregate_to_metrics(logs.select(*LOG.fieldNames()), bucket)
+    narrow = logs.select("service_name", "timestamp_dt", "status_code", "latency_ms", "is_error")
+    return aggregate_to_metrics(materialize(narrow, "parsed-logs"), bucket)
 
 
 def ingest_logs(

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "triagelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -46,6 +47,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/triagelake/{name}-{uuid.uuid4().hex}"
 
 
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a stored table for broadcast after counting it; a larger one is left to a shuffle join."""
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a stage's result below the shared folder and read it back.
 

@@ -14,11 +14,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from triagelake.functions.text import strip, valid_epoch_ms
-from triagelake.functions.text import extract_latency_ms, extract_status_code, is_error, parse_lines
+from triagelake.functions.text import enrich, parse_lines, strip, valid_epoch_ms
 from triagelake.functions.times import resolve_timestamp
 from triagelake.operators.segments import merge_continuations
 from triagelake.schemas import LOG
+from triagelake.session import broadcast_if_small, materialize
 
 # CSV grammar. Possessive quantifiers keep the matching iterative on very long lines.
 QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
@@ -26,6 +26,7 @@ CLOSED_FIELD = rf'(?:{QUOTED}"[^,]*+|[^",][^,]*+|)'
 CLOSED_OUTSIDE = rf'\A{CLOSED_FIELD}(?:,{CLOSED_FIELD})*+\z'
 CLOSED_INSIDE = rf'\A[^"]*+(?:""[^"]*+)*+"[^,]*+(?:,{CLOSED_FIELD})*+\z'
 ANY_FIELD = rf',({QUOTED}(?:"[^,]*+|\z)|[^",][^,]*+|)'
+ENTRY_START = r'\A\s*(?:[0-9]{13}|"\s*[0-9]{13}\s*")\s*(?:,|\z)'
 UNQUOTE = r'(?s)\A"([^"]*+(?:""[^"]*+)*+)"?(.*)\z'
 
 OUTSIDE, INSIDE = 0, 1
@@ -48,9 +49,10 @@ def discover_log_files(spark: SparkSession, path: str, service_from: str = "stem
             raise
         return spark.createDataFrame([], LINE_COLUMNS)
     if service_from == "stem":
-        service = F.regexp_extract("_metadata.file_name", r"^(.*)\.csv$", 1)
+        service = F.substring(F.col("_metadata.file_name"), F.lit(1), F.length("_metadata.file_name") - len(".csv"))
     else:
-        service = F.regexp_extract("_metadata.file_path", r"([^/=]+)/[^/]+$", 1)
+        folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+        service = F.substring_index(folder, "=", -1)
     return lines.select(
         F.xxhash64("_metadata.file_path").alias("file"),
         service.alias("service_name"),
@@ -68,8 +70,20 @@ def csv_fields(record: Column) -> Column:
 
 def unquote(field: Column) -> Column:
     """The value of a raw CSV field."""
-    inner = F.replace(F.regexp_extract(field, UNQUOTE, 1), F.lit('""'), F.lit('"'))
-    return F.when(F.startswith(field, F.lit('"')), F.concat(inner, F.regexp_extract(field, UNQUOTE, 2))).otherwise(field)
+    quote = F.lit('"')
+
+    def unescape(text: Column) -> Column:
+        return F.replace(text, F.lit('""'), quote)
+
+    inner = F.substring(field, F.lit(2), F.length(field) - 2)
+    odd = F.concat(unescape(F.regexp_extract(field, UNQUOTE, 1)), F.regexp_extract(field, UNQUOTE, 2))
+    regular = F.endswith(field, quote) & (F.length(field) > 1)
+    return (
+        F.when(~F.startswith(field, quote), field)
+        .when(regular & ~F.contains(inner, quote), inner)
+        .when(regular & ~F.contains(F.replace(inner, F.lit('""'), F.lit("")), quote), unescape(inner))
+        .otherwise(odd)
+    )
 
 
 def _with_effect(lines: DataFrame) -> DataFrame:
@@ -115,9 +129,8 @@ def _block_table(lines: DataFrame) -> DataFrame:
     A certain entry start is a line that begins outside quotes with a 13 digit first field in a
     file whose time column comes first. Only narrow columns are shuffled here.
     """
-    first_field = unquote(F.get(csv_fields(F.col("value")), F.lit(0)))
     header_like = (F.col("block") == 0) & F.contains(F.lower("value"), F.lit("timestamp"))
-    narrow = _with_effect(lines).withColumn("_starts", valid_epoch_ms(first_field)).select(
+    narrow = _with_effect(lines).withColumn("_starts", F.col("value").rlike(ENTRY_START)).select(
         "file", "block", "pos", "_fixed", "_flips", "_starts",
         F.when(header_like & ~F.col("_starts"), F.col("value")).alias("_line"),
     )
@@ -172,9 +185,12 @@ def read_log_csv(spark: SparkSession, path: str, service_from: str = "stem") ->
     """CSV rows as (file, service_name, block, rid, ts_ms, message), in order within (file, block).
 
     No log entry crosses a `block` of the result. A field that is missing reads as the empty text.
+    The first pass runs at once and stores one row per block; that table is broadcast if its count
+    allows, so the lines themselves are shuffled only once.
     """
     lines = discover_log_files(spark, path, service_from)
-    located = lines.join(_block_table(lines), ["file", "block"])
+    blocks = broadcast_if_small(materialize(_block_table(lines), "blocks"))
+    located = lines.join(blocks, ["file", "block"])
     owner = F.when(F.col("pos") >= F.col("_sync"), F.col("block")).otherwise(F.col("_carried"))
     owned = _with_effect(
         located.where(~F.col("pos").eqNullSafe(F.col("_header_pos"))).withColumn("_owner", owner)
@@ -212,14 +228,8 @@ def parse_entries(entries: DataFrame) -> DataFrame:
 
     Entries of another shape stay, with `parsed = false`, for the statistics.
     """
-    parsed = parse_lines(entries)
-    text = F.col("log_text")
-    return parsed.withColumns({
-        "timestamp_dt": F.when(F.col("parsed"), resolve_timestamp(F.col("timestamp"), F.col("ts_ms"))),
-        "status_code": extract_status_code(text),
-        "latency_ms": extract_latency_ms(text),
-        "is_error": F.when(F.col("parsed"), is_error(F.col("level"), text)),
-    })
+    stamp = F.when(F.col("parsed"), resolve_timestamp(F.col("timestamp"), F.col("ts_ms")))
+    return enrich(parse_lines(entries)).withColumn("timestamp_dt", stamp)
 
 
 def entries_from_rows(rows: DataFrame, file: list[str], aligned: bool = False) -> DataFrame:
