@@ -51,7 +51,7 @@ def merge_continuations(
     """One row per entry: the opener's time, all messages joined by line feeds in file order.
 
     Rows before the first opener of a file are dropped. The rows are shuffled once, by file and
-    owning block; the window and the grouping share that partitioning. `aligned` says that no entry
+    owning block; both windows share that partitioning, and the opener's row is the one kept. `aligned` says that no entry
     crosses a block (as in `read_log_csv`), so owners need not be looked up and a partitioning by
     file and block is reused as it is.
     """
@@ -64,17 +64,17 @@ def merge_continuations(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     entry = F.sum(F.col("_opens").cast("bigint")).over(running)
-    line = F.struct(F.col(block).alias("b"), F.col(pos).alias("p"), F.col(message).alias("m"))
-    lines = F.array_sort(F.collect_list(line))
+    of_entry = (
+        Window.partitionBy(*file, "_owner", "_entry").orderBy(block, pos)
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
     return (
         owned.withColumn("_entry", entry)
         .where(F.col("_entry") > 0)
-        .groupBy(*file, "_owner", "_entry")
-        .agg(
-            F.max(F.when(F.col("_opens"), F.col(ts))).alias(ts),
-            F.max(F.when(F.col("_opens"), F.col(pos))).alias(pos),
-            F.array_join(F.transform(lines, lambda item: item["m"]), "\n").alias(message),
-            (F.count(F.lit(1)) - 1).alias("n_continuations"),
-        )
-        .drop("_owner", "_entry")
+        .withColumns({
+            message: F.array_join(F.collect_list(message).over(of_entry), "\n"),
+            "n_continuations": F.count(F.lit(1)).over(of_entry) - 1,
+        })
+        .where("_opens")
+        .select(*file, ts, pos, message, "n_continuations")
     )

@@ -200,17 +200,15 @@ def read_log_csv(spark: SparkSession, path: str, service_from: str = "stem") ->
         Window.partitionBy("file", "_owner").orderBy("block", "pos")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    begins = (F.coalesce(F.col("_known"), F.col("_odd")) == OUTSIDE).cast("bigint")
-    line = F.struct(F.col("block").alias("b"), F.col("pos").alias("p"), F.col("value").alias("v"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda item: item["v"]), "\n")
+    of_record = (
+        Window.partitionBy("file", "_owner", "rid").orderBy("block", "pos")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
     records = (
-        stated.withColumn("rid", F.sum(begins).over(running))
-        .groupBy("file", "_owner", "rid")
-        .agg(
-            F.first("service_name").alias("service_name"), F.first("_ts_at").alias("_ts_at"),
-            F.first("_msg_at").alias("_msg_at"), joined.alias("_record"),
-        )
-        .where(F.col("_record") != "")
+        stated.withColumn("_begins", F.coalesce(F.col("_known"), F.col("_odd")) == OUTSIDE)
+        .withColumn("rid", F.sum(F.col("_begins").cast("bigint")).over(running))
+        .withColumn("_record", F.array_join(F.collect_list("value").over(of_record), "\n"))
+        .where(F.col("_begins") & (F.col("_record") != ""))
         .withColumn("_fields", csv_fields(F.col("_record")))
     )
 
