@@ -71,11 +71,11 @@ def random_file(rng, header, rows):
 ])
 def test_parallel_csv_matches_csv_module(spark, tmp_path, seed, header):
     rng = random.Random(seed)
-    texts = {f"svc-{i}": random_file(rng, header, rows) for i, rows in enumerate([400, 7, 120])}
+    texts = {f"svc-{i}": random_file(rng, header, rows) for i, rows in enumerate([150, 7, 40])}
     for name, text in texts.items():
         (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8", newline="")
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
         rows = read_log_csv(spark, str(tmp_path))

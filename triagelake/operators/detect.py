@@ -17,12 +17,25 @@ from triagelake.operators.baselines import KEY
 from triagelake.operators.upserts import incident_id, insert_incidents_ignore
 from triagelake.schemas import INCIDENT
 
+SLICES = 32
+
 
 def latest_readings(metrics: DataFrame, n: int = 5000, source: str | None = None) -> DataFrame:
-    """The newest `n` readings of each service; the rank limit is applied before the shuffle too."""
+    """The newest `n` readings of each service.
+
+    A service is first cut down to `n` rows in each of its slices, so that no task sorts all
+    readings of a heavy service; the newest of those are the newest of all.
+    """
     kept = metrics if source is None else metrics.where(F.col("source") == source)
-    newest = Window.partitionBy("service_name").orderBy(F.desc("timestamp"), "metric_name")
-    return kept.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).drop("_rank")
+    order = [F.desc("timestamp"), F.col("metric_name")]
+    sliced = Window.partitionBy("service_name", "_slice").orderBy(*order)
+    newest = Window.partitionBy("service_name").orderBy(*order)
+    return (
+        kept.withColumn("_slice", F.pmod(F.xxhash64("timestamp", "metric_name"), F.lit(SLICES)))
+        .withColumn("_rank", F.row_number().over(sliced)).where(F.col("_rank") <= n)
+        .withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n)
+        .drop("_slice", "_rank")
+    )
 
 
 def join_latest_baseline(metrics: DataFrame, baselines: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ def build_session(app_name: str = "triagelake", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Rank limits up to this size are applied before the shuffle; the default stops at 1000.
+        "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from triagelake.functions.times import to_epoch_us
 from triagelake.schemas import DOC
@@ -63,10 +64,10 @@ def read_log_docs(
     `fields` names the store's own fields by role; `columns` limits the result.
     """
     names = {**FIELDS, **(fields or {})}
-    schema = DOC.add("ds", "date")
+    schema = T.StructType([*DOC.fields, T.StructField("ds", T.DateType())])
     if fields:
         renamed = {FIELDS[role]: name for role, name in fields.items()}
-        schema = type(schema)([type(f)(renamed.get(f.name, f.name), f.dataType, f.nullable) for f in schema])
+        schema = T.StructType([T.StructField(renamed.get(f.name, f.name), f.dataType) for f in schema])
     docs = spark.read.schema(schema).format(fmt).load(path)
     return scan_docs(docs, names, service, start, end, columns, ordered)
 

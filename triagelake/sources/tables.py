@@ -86,7 +86,7 @@ def read_ground_truth(spark: SparkSession, path: str | None = None) -> DataFrame
             *names[:3], F.to_timestamp("_from").alias("window_start"), F.to_timestamp("_to").alias("window_end"),
             "label",
         )
-    manifest = spark.read.option("wholetext", True).text(path)
+    manifest = spark.read.text(path, wholetext=True)
     windows = F.from_json("value", T.ArrayType(GROUND_TRUTH))
     return manifest.select(F.posexplode(windows).alias("gt_pos", "g")).select(
         F.col("gt_pos").cast("bigint").alias("gt_pos"), "g.*"
