@@ -316,6 +316,15 @@ def resolve(spark, sf):
     return upserts.resolve_incidents(found, at).select("id", "resolved", "resolved_at")
 
 
+@query("read_ground_truth", f"WITH {q.EV}, {q.LABELS} SELECT * FROM labels_")
+def read_labels(spark, sf):
+    """Labels stored as JSON lines and read back."""
+    path = scratch_path(spark, "labels")
+    labels = views.event_labels(views.events(spark, sf))
+    labels.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    return tables.read_ground_truth(spark, path, lines=True)
+
+
 @query("read_incidents", f"""WITH {q.EVENT_INCIDENTS} SELECT id, timestamp, service_name, incident_type,
   resolved OR severity = 'critical' AS resolved FROM incidents""")
 def read_incidents(spark, sf):

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from triagelake.functions.text import enrich, parse_lines, strip, valid_epoch_ms
+from triagelake.functions.text import clean_service_name, enrich, parse_lines, strip, valid_epoch_ms
 from triagelake.functions.times import resolve_timestamp
 from triagelake.operators.segments import merge_continuations
 from triagelake.schemas import LOG
@@ -235,9 +235,17 @@ def entries_from_rows(rows: DataFrame, file: list[str], aligned: bool = False) -
     return merge_continuations(rows, valid_epoch_ms(F.col("ts_ms")), file, aligned=aligned)
 
 
-def read_logs(spark: SparkSession, path: str, service_from: str = "stem") -> DataFrame:
-    """Parsed log entries of all files below a folder."""
+def read_logs(
+    spark: SparkSession, path: str, service_from: str = "stem", strip_suffix: bool = False
+) -> DataFrame:
+    """Parsed log entries of all files below a folder.
+
+    `strip_suffix` drops a trailing `-<digits>` from service names; labels that carry the number
+    then no longer match, so it is off by default.
+    """
     rows = read_log_csv(spark, path, service_from)
+    if strip_suffix:
+        rows = rows.withColumn("service_name", clean_service_name(F.col("service_name")))
     entries = entries_from_rows(rows, ["file", "service_name"], aligned=True)
     return parse_entries(entries).where("parsed").select(*LOG.fieldNames())
 

@@ -75,8 +75,14 @@ def write_metrics_csv(metrics: DataFrame, path: str) -> None:
     metrics.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_ground_truth(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Labelled windows with their position: a JSON array in one file, or the built-in two."""
+def read_ground_truth(spark: SparkSession, path: str | None = None, lines: bool = False) -> DataFrame:
+    """Labelled windows with their position: a JSON array in one file, or the built-in two.
+
+    A label set too large for one file is read with `lines=True` from JSON lines that carry their
+    position as `gt_pos`.
+    """
+    if path is not None and lines:
+        return spark.read.schema(T.StructType([T.StructField("gt_pos", T.LongType()), *GROUND_TRUTH.fields])).json(path)
     if path is None:
         rows = [(i, *row) for i, row in enumerate(DEFAULT_GROUND_TRUTH)]
         names = ["gt_pos", "service_name", "incident_type", "_from", "_to", "label"]
