@@ -134,3 +134,22 @@ def test_missing_folder_and_dir_layout(spark, tmp_path):
 def test_bad_utf8_is_replaced(spark, tmp_path):
     (tmp_path / "s.csv").write_bytes(b"timestamp,message\n1709287200000,info|a|t|2024-03-01T10:00:00Z: caf\xff\n")
     assert read_logs(spark, str(tmp_path)).select(F.col("log_text")).collect()[0][0] == "caf\ufffd"
+
+
+def test_changed_splits_are_an_error(spark, tmp_path):
+    """The two passes must cut the files alike; otherwise reading fails instead of losing lines."""
+    body = "".join(f"1709287200{i:03d},info|a|t|2024-03-01T10:00:00Z: hi\n" for i in range(200))
+    (tmp_path / "s.csv").write_text("timestamp,message\n" + body)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        rows = read_log_csv(spark, str(tmp_path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1700")
+        with pytest.raises(Exception, match="splits differ"):
+            rows.collect()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        assert read_log_csv(spark, str(tmp_path)).count() == 200
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -10,6 +10,7 @@ from triagelake.functions.times import minutes
 from triagelake.operators.baselines import KEY
 from triagelake.operators.intervals import interval_join
 from triagelake.schemas import INFRA_METRICS, INFRA_SOURCES
+from triagelake.session import materialize
 
 
 def pending_incidents(incidents: DataFrame) -> DataFrame:
@@ -127,9 +128,11 @@ def diagnose_incidents(
 ) -> DataFrame:
     """Root cause rows (id, rule, primary metric, correlated metrics, text) for the pending incidents.
 
-    Incidents without any reading in their window give no row and so stay undiagnosed.
+    Incidents without any reading in their window give no row and so stay undiagnosed. The readings
+    around incidents are looked at three times and so are stored once.
     """
-    window = incident_metric_window(pending_incidents(incidents), metrics, window_minutes)
+    around = incident_metric_window(pending_incidents(incidents), metrics, window_minutes)
+    window = materialize(around, "incident-windows")
     ruled = match_rule(window, elevated_infra(window, baselines, sigma, elevated_by))
     pairs = co_observed_pairs(window, ruled.select("incident_id", "primary_metric"))
     named = (

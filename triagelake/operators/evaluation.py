@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from triagelake.functions.scores import rounded
 from triagelake.functions.times import minutes
 from triagelake.operators.intervals import interval_join
+from triagelake.session import materialize
 
 
 def with_default_label(ground_truth: DataFrame) -> DataFrame:
@@ -117,8 +118,9 @@ def union_distinct_services(incidents: DataFrame, ground_truth: DataFrame) -> Da
 def evaluation_report(
     incidents: DataFrame, ground_truth: DataFrame, tolerance_minutes: int = 30, match_type: bool = False
 ) -> dict[str, DataFrame]:
-    """All parts of the evaluation, each a DataFrame."""
-    credited = first_label(match_ground_truth(incidents, ground_truth, tolerance_minutes, match_type))
+    """All parts of the evaluation, each a DataFrame. The matching is used by all and stored once."""
+    pairs = match_ground_truth(incidents, ground_truth, tolerance_minutes, match_type)
+    credited = materialize(first_label(pairs), "credited")
     return {
         "summary": evaluate_detections(incidents, ground_truth, credited).withColumn(
             "tolerance_minutes", F.lit(tolerance_minutes)

@@ -45,7 +45,8 @@ def filter_lookback(
     return df.where(all_of(conditions))
 
 
-def get_incident(incidents: DataFrame, incident_id: int) -> DataFrame:
+def get_incident(incidents: DataFrame, incident_id: int | Column) -> DataFrame:
+    """One incident by id; no row when there is none."""
     return incidents.where(F.col("id") == F.lit(incident_id))
 
 
@@ -188,7 +189,7 @@ def list_pending(incidents: DataFrame) -> DataFrame:
 
 
 def incident_detail(
-    incidents: DataFrame, metrics: DataFrame, baselines: DataFrame, incident_id: int, window_minutes: int = 90
+    incidents: DataFrame, metrics: DataFrame, baselines: DataFrame, incident_id: int | Column, window_minutes: int = 90
 ) -> dict[str, DataFrame]:
     """One incident, the readings around it in time order and the newest baselines of its service."""
     incident = get_incident(incidents, incident_id)

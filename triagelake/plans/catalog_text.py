@@ -158,8 +158,9 @@ def _responses(ev):
         F.struct(F.lit(m[0]).alias("ns"), F.lit(m[1]).alias("name")) for m in [*CLOUD_METRICS, ("AWS/ECS", "Other")]
     ])
     chosen = ev.withColumn("m", F.get(named, F.col("k") % 10))
+    is_memory = F.col("k") % 10 == 5
     point = F.struct(
-        F.col("ts").alias("Timestamp"), F.when(F.col("k") % 9 != 0, F.col("value") * 1048576).alias("Average"),
+        F.col("ts").alias("Timestamp"), F.when(F.col("k") % 9 != 0, F.col("value") * F.when(is_memory, 1048576.0).otherwise(1.0)).alias("Average"),
         F.col("k").cast("double").alias("Sum"), (F.col("value") + F.col("k")).alias("Maximum"),
     )
     return chosen.select(
@@ -170,7 +171,7 @@ def _responses(ev):
 
 
 CLOUD = q.EV + """, points AS (
-  SELECT ts AS timestamp, service_name, k % 10 AS m, CASE WHEN k % 9 <> 0 THEN value * 1048576 END AS average,
+  SELECT ts AS timestamp, service_name, k % 10 AS m, CASE WHEN k % 9 <> 0 THEN value * CASE WHEN k % 10 = 5 THEN 1048576.0 ELSE 1.0 END END AS average,
     CAST(k AS DOUBLE) AS sum_, value + k AS maximum FROM ev)"""
 
 
@@ -353,7 +354,7 @@ def get_incident(spark, sf):
     """Point lookup of the newest incident."""
     found = views.event_incidents(views.events(spark, sf))
     newest = found.agg(F.max("id").alias("id")).scalar()
-    return found.where(F.col("id") == newest).select("id", "timestamp", "service_name", "severity")
+    return reports.get_incident(found, newest).select("id", "timestamp", "service_name", "severity")
 
 
 @query("parse_entries", f"""WITH {q.PARSED} SELECT service_name, rid, level, timestamp_dt, status_code, latency_ms, is_error

@@ -31,7 +31,8 @@ UNQUOTE = r'(?s)\A"([^"]*+(?:""[^"]*+)*+)"?(.*)\z'
 
 OUTSIDE, INSIDE = 0, 1
 
-LINE_COLUMNS = "file bigint, service_name string, block bigint, pos bigint, value string"
+LINE_COLUMNS = "file bigint, service_name string, block bigint, block_bytes bigint, pos bigint, value string"
+BLOCK = ["file", "block", "block_bytes"]
 ROW_COLUMNS = "file bigint, service_name string, block bigint, rid bigint, ts_ms string, message string"
 
 
@@ -57,6 +58,7 @@ def discover_log_files(spark: SparkSession, path: str, service_from: str = "stem
         F.xxhash64("_metadata.file_path").alias("file"),
         service.alias("service_name"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_length").alias("block_bytes"),
         F.monotonically_increasing_id().alias("pos"),
         F.make_valid_utf8("value").alias("value"),
     )
@@ -131,16 +133,16 @@ def _block_table(lines: DataFrame) -> DataFrame:
     """
     header_like = (F.col("block") == 0) & F.contains(F.lower("value"), F.lit("timestamp"))
     narrow = _with_effect(lines).withColumn("_starts", F.col("value").rlike(ENTRY_START)).select(
-        "file", "block", "pos", "_fixed", "_flips", "_starts",
+        *BLOCK, "pos", "_fixed", "_flips", "_starts",
         F.when(header_like & ~F.col("_starts"), F.col("value")).alias("_line"),
     )
-    stated = _with_state(narrow, ["file", "block"], ["pos"])
+    stated = _with_state(narrow, BLOCK, ["pos"])
     begins = {
         start: F.col("_starts") & (F.coalesce(F.col("_known"), (F.col("_odd") + start) % 2) == OUTSIDE)
         for start in (OUTSIDE, INSIDE)
     }
     after_fixed = F.coalesce(F.col("_fixed"), F.when(F.col("_known").isNotNull(), (F.col("_known") + F.col("_flips")) % 2))
-    blocks = stated.groupBy("file", "block").agg(
+    blocks = stated.groupBy(*BLOCK).agg(
         F.max_by(after_fixed, "pos").alias("_fixed"),
         F.max_by((F.col("_odd") + F.col("_flips")) % 2, "pos").alias("_flips"),
         F.min(F.when(begins[OUTSIDE], F.col("pos"))).alias("_sync_outside"),
@@ -176,11 +178,23 @@ def _block_table(lines: DataFrame) -> DataFrame:
                 F.last(F.when(F.col("_sync").isNotNull(), F.col("block")), ignorenulls=True).over(before), "_start"
             ),
         )
-        .where(F.col("_ts_at").isNotNull())
-        .select("file", "block", "_sync", "_carried", "_header_pos", "_ts_at", "_msg_at")
+        .select(*BLOCK, "_sync", "_carried", "_header_pos", "_ts_at", "_msg_at")
     )
 
 
+def _pin_splits(spark: SparkSession) -> None:
+    """Keep the splitting of files independent of the executors that happen to be there.
+
+    Both passes must see the same splits. Without a set minimum Spark derives the split size of
+    small inputs from the cores registered at that moment.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        parallelism = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+        spark.conf.set(
+            "spark.sql.files.minPartitionNum", str(parallelism or spark.sparkContext.defaultParallelism)
+        )
+
+
 def read_log_csv(spark: SparkSession, path: str, service_from: str = "stem") -> DataFrame:
     """CSV rows as (file, service_name, block, rid, ts_ms, message), in order within (file, block).
 
@@ -188,9 +202,12 @@ def read_log_csv(spark: SparkSession, path: str, service_from: str = "stem") ->
     The first pass runs at once and stores one row per block; that table is broadcast if its count
     allows, so the lines themselves are shuffled only once.
     """
+    _pin_splits(spark)
     lines = discover_log_files(spark, path, service_from)
     blocks = broadcast_if_small(materialize(_block_table(lines), "blocks"))
-    located = lines.join(blocks, ["file", "block"])
+    moved = F.raise_error(F.lit("file splits differ between the two passes; read the files again")).cast("boolean")
+    usable = F.when(F.col("_carried").isNull(), moved).otherwise(F.col("_ts_at").isNotNull())
+    located = lines.join(blocks, BLOCK, "left").where(usable)
     owner = F.when(F.col("pos") >= F.col("_sync"), F.col("block")).otherwise(F.col("_carried"))
     owned = _with_effect(
         located.where(~F.col("pos").eqNullSafe(F.col("_header_pos"))).withColumn("_owner", owner)
