@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from triagelake.llm import mixing, packing, rules, token_files, url_filter
+from triagelake.llm import (
+    classifier, fingerprints, html_text, lm_scores, mixing, ngram_join, packing, rules, token_files, url_filter,
+)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
+    "op2_quality_classifier": classifier.op2_quality_classifier,
+    "op3_main_text": html_text.op3_main_text,
     "op4_token_files": token_files.op4_token_files,
+    "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_quality_rules": rules.op6_quality_rules,
+    "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_packing": packing.op8_packing,
+    "op9_lm_scores": lm_scores.op9_lm_scores,
     "op10_mixing": mixing.op10_mixing,
 }
 

@@ -31,16 +31,17 @@ ENDS, CLOSERS = (".", "!", "?", "…", ":", ";"), "\"'’”»)]"
 MENU, SHOUTS, COUNTED = "[|»›•]", "[!?]", "[^#*$%&|<>»›•!?A-Z]+"
 
 
-def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lines) of each row;
-    lines: those with a word, without repeats.
+def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carried columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lines) of
+    each row; lines: those with a word, without repeats.
 
     Three-word windows are packed into one long each: the upper bits of a hash and, below them, the place.
     Sorted, equal windows lie side by side; only places found that way are compared by their real words.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    cut = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), sql_words(body).alias("w"))
-    sized = cut.select("doc_id", "text", "w", F.size("w").alias("n"))
+    own = F.struct(*(F.col(c) for c in carried)) if carried else F.lit(None).cast("struct<>")
+    cut = docs.select(F.col(doc_id).alias("doc_id"), own.alias("own"), body.alias("text"), sql_words(body).alias("w"))
+    sized = cut.select("doc_id", "own", "text", "w", F.size("w").alias("n"))
     masked = sized.withColumn("mask", F.expr("shiftleft(1L, length(bin(n))) - 1L"))
     window = F.transform(
         F.when(F.col("n") >= 3, F.sequence(F.lit(0), F.col("n") - 3)).otherwise(F.expr("cast(array() as array<int>)")),
@@ -66,7 +67,7 @@ def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
     distinct = repeated.withColumn("_lines", lines).withColumn("lines", F.array_distinct("_lines"))
     measured = distinct.select(
-        "doc_id", "lines",
+        "doc_id", "own", "lines",
         F.col("n").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS + "+", ""))).cast("long").alias("n_symbols"),
@@ -110,9 +111,9 @@ def good_lines(lines: Column) -> Column:
     ))
 
 
-def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Base measures of each document, kept and the cleaned text (its good lines)."""
-    judged = base_measures(docs, doc_id, text).withColumn("good", good_lines(F.col("lines")))
+def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
+    """Base measures of each document, kept and the cleaned text (its good lines); carried columns come as `own`."""
+    judged = base_measures(docs, doc_id, text, carried).withColumn("good", good_lines(F.col("lines")))
     left = F.aggregate(F.transform("good", lambda x: x["size"]), F.lit(0), lambda a, b: a + b)
     return judged.withColumns({
         "kept": ~F.col("base_failed") & (100 * (F.col("word_chars") - left) <= MOST_LOST * F.col("word_chars")),
@@ -120,6 +121,16 @@ def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     }).drop("lines", "good")
 
 
+def cleaned_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The documents that are kept, with all their columns, cleaned text and its length in characters."""
+    others = tuple(c for c in docs.columns if c not in (text, n_chars))
+    # A filter on kept alone would be pushed below the measures, with all of them spelled out in its condition; one
+    # that also reads a row number, which is not deterministic, stays above them.
+    judged = judge_quality(docs, doc_id, text, others).withColumn("_row", F.monotonically_increasing_id()).where("kept and _row >= 0")
+    new = {text: F.col("cleaned"), n_chars: F.length("cleaned").cast("long")}
+    return judged.select(*(new[c].alias(c) if c in new else F.col("own").getField(c).alias(c) for c in docs.columns))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base measures and the verdict on every document."""
     return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
