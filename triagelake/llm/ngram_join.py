@@ -42,6 +42,8 @@ WORDS = 4
 PERCENT = 85
 #: Classes of the count of shingles: 8 million, one byte each where it is used.
 COUNT_BITS = 23
+#: Bits of the array that tells which texts may be needed.
+FILTER_BITS = 23
 #: Each round takes so many times the pivots of the one before.
 MORE = 8
 
@@ -195,7 +197,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     filled = sets.where("n > 0")
     nodes = materialize(filled.groupBy("key").agg(
         F.min("row").alias("node"), F.max("n").alias("n"), F.min("doc_id").alias("id"),
-        F.coalesce(F.min_by("row", "doc_id"), F.min("row")).alias("first"),
+        F.coalesce(F.min_by("row", "doc_id"), F.min("row")).alias("first"), F.min_by("tag", "row").alias("tag"),
     ), "nodes")
     short = materialize(
         filled.select(F.col("row").alias("node"), "short").join(nodes.select("node"), "node", "left_semi")
@@ -205,12 +207,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     shared = short.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle")
     lists = materialize(short.join(shared, "shingle", "left_semi").join(nodes.select("node", "n"), "node"), "lists")
     met = materialize(lists.select("node").distinct(), "met")
-    texts = materialize(_texts(rows, sets, met), "texts")
     labels = met.withColumn("label", F.col("node"))
     found, pivots = None, 1
     while True:
         members = lists.join(labels, "node") if found is not None else lists.withColumn("label", F.col("node"))
-        linked = materialize(_linked(_candidates(members, pivots, percent), texts, words, percent), "linked")
+        pairs = materialize(_candidates(members, pivots, percent), "pairs")
+        texts = materialize(_texts(rows, pairs, nodes), "texts")
+        linked = materialize(_linked(pairs, texts, words, percent), "linked")
         found = linked if found is None else found.unionByName(linked)
         if not linked.isEmpty():
             labels = materialize(components(met, found), "components")
@@ -241,10 +244,25 @@ def _tag() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def _texts(rows: DataFrame, sets: DataFrame, met: DataFrame) -> DataFrame:
-    """(node, text) of the nodes that meet another in a list, found again by id and hash."""
-    ids = sets.select(F.col("row").alias("node"), "tag").join(met, "node", "left_semi")
-    found = rows.select("tag", "text").join(ids, "tag")
+def _texts(rows: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in pairs, found again by a hash of id and text.
+
+    A bit array of fixed size (1 MB) over those hashes keeps most other texts out of the shuffle.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = materialize(nodes.select("node", "tag").join(ids, "node"), "wanted")
+    place = F.shiftright(F.xxhash64("tag"), 64 - FILTER_BITS).bitwiseAND((1 << FILTER_BITS) - 1)
+    words = wanted.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("one"), place.alias("place")).select(
+        "word", F.call_function("shiftleft", F.col("one"), F.pmod("place", F.lit(64)).cast("int")).alias("bits")
+    )
+    blank = rows.sparkSession.range(1 << FILTER_BITS - 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    dense = words.unionByName(blank).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    filled = materialize(
+        dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits")), "filter"
+    )
+    bits = filled.select("bits").scalar()
+    maybe = F.getbit(F.get(bits, F.shiftright(place, 6).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
+    found = rows.select("tag", "text").where(maybe).join(wanted, "tag")
     # Rows that are equal altogether have one tag; one of them serves.
     return found.groupBy("tag", "node").agg(F.first("text").alias("text")).select("node", "text")
 
