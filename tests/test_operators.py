@@ -8,11 +8,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from triagelake.functions import scores
 from triagelake.functions.text import valid_epoch_ms
-from triagelake.operators import baselines, detect, diagnose, evaluation, reports, rollup, timeseries, upserts
+from triagelake.operators import baselines, detect, diagnose, evaluation, quantiles, reports, rollup, timeseries, upserts
 from triagelake.operators.intervals import interval_join
 from triagelake.operators.quantiles import grouped_profile, value_bin
 from triagelake.operators.segments import merge_continuations
+from triagelake.plans import jobs
 
 T0 = dt.datetime(2024, 3, 1)
 
@@ -331,3 +333,73 @@ def test_reports(spark):
     trend = reports.incident_trend_hourly(df, F.lit(at(24 * 60 + 6)))
     assert trend.agg(F.sum("count")).collect()[0][0] == 6
     assert [r.id for r in reports.list_pending(df).collect()][:2] == [11, 10]
+
+
+def _readings(spark, values, start="2024-01-01 00:00:00"):
+    rows = [(i, float(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "i long, metric_value double").select(
+        (F.lit(start).cast("timestamp") + F.make_dt_interval(mins=F.col("i"))).alias("timestamp"),
+        F.lit("a").alias("service_name"), F.lit("error_rate").alias("metric_name"), "metric_value",
+        F.lit("error_rate").alias("metric_type"), F.lit("logs").alias("source"),
+    )
+
+
+def test_old_extremes_are_found_among_many_readings(spark):
+    readings = _readings(spark, [1000.0 if i < 3 else i % 10 for i in range(6000)])
+    known = baselines.metric_baselines(_readings(spark, [i % 10 for i in range(200)]))
+    assert detect.detect_anomalies(readings, known).count() == 3
+    assert detect.detect_anomalies(readings, known, n_latest=5000).count() == 0
+
+
+def test_readings_that_are_not_finite_change_nothing(spark):
+    clean = [i % 10 for i in range(200)] + [500]
+    mixed = [*clean, float("nan"), float("inf"), float("-inf")]
+    known = baselines.metric_baselines(_readings(spark, clean))
+    assert baselines.metric_baselines(_readings(spark, mixed)).drop("window_end").collect() == known.drop("window_end").collect()
+    found = detect.detect_anomalies(_readings(spark, mixed), known)
+    assert [r.value for r in found.collect()] == [500.0]
+
+
+@pytest.mark.parametrize("large_group", [0, 10**6])
+@pytest.mark.parametrize("extra", [[], [float("nan")], [float("inf")], [float("-inf")], [1e9 + i / 1000 for i in range(3000)]])
+def test_percentiles_do_not_depend_on_group_size(spark, large_group, extra):
+    rows = spark.createDataFrame([("a", float(v)) for v in [*range(20), *extra]], "k string, v double")
+    got = quantiles.grouped_profile(rows, ["k"], "v", {"p50": 0.5, "p99": 0.99}, large_group=large_group).first()
+    want = rows.groupBy("k").agg(F.percentile("v", 0.5).alias("p50"), F.percentile("v", 0.99).alias("p99")).first()
+    for x, y in ((got.p50, want.p50), (got.p99, want.p99)):
+        assert x == pytest.approx(y, nan_ok=True)
+
+
+def test_overrides_keep_every_reading_and_empty_grids_are_empty(spark):
+    readings = _readings(spark, [1, 2]).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    none = spark.createDataFrame(
+        [], "service_name string, metric_name string, window_start timestamp, window_end timestamp, new_value double, priority int"
+    )
+    assert sorted(r.metric_value for r in timeseries.override_in_windows(readings, none).collect()) == [1.0, 2.0]
+    day = F.lit("2024-01-01").cast("timestamp")
+    assert timeseries.time_grid(readings.select("service_name"), ["m"], day, day).count() == 0
+
+
+def test_raw_documents_take_a_range_and_floating_epochs(spark):
+    docs = spark.createDataFrame(
+        [(1709287200000.0, "a"), (1709290800000.0, "a"), (1709290800000.0, "b")], "at double, svc string"
+    ).select(F.col("at"), F.col("svc"), F.lit("info").alias("log_level"), F.lit("5").alias("latency_ms"), F.lit("200").alias("status_code"))
+    start = F.lit("2024-03-01 10:30:00").cast("timestamp")
+    found = jobs.ingest_docs(docs, start=start, raw=True, service="a", fields={"timestamp": "at", "service": "svc"})
+    assert {str(r.timestamp) for r in found.collect()} == {"2024-03-01 11:00:00"}
+    assert {r.service_name for r in found.collect()} == {"a"}
+
+
+def test_limits_are_the_callers(spark):
+    names = spark.range(600).select(F.concat(F.lit("s"), "id").alias("service_name"), F.lit("2024-01-01").cast("timestamp").alias("timestamp_dt"))
+    day = F.lit("2024-01-01").cast("timestamp")
+    assert reports.top_services(names, day, day).count() == 600
+    assert reports.top_services(names, day, day, size=7).count() == 7
+
+
+def test_rounding_of_large_values(spark):
+    row = spark.range(1).select(
+        scores.rounded(F.lit(123456789012.34565), 2).alias("a"), scores.rounded(F.lit(1e300), 2).alias("b"),
+        scores.rounded(F.lit(2.5), 0).alias("c"),
+    ).first()
+    assert (row.a, row.b, row.c) == (123456789012.35, 1e300, 3.0)

@@ -11,9 +11,17 @@ from triagelake.schemas import RULES, SEVERITIES
 
 
 def rounded(col: Column, digits: int) -> Column:
-    """Round half up on the decimal form, so ties do not depend on binary noise."""
-    exact = F.round(col.cast("decimal(18,6)"), digits).cast("double")
-    return F.when(F.abs(col) < 1e11, exact).otherwise(F.round(col, digits))
+    """Round half up on the decimal form, so ties do not depend on binary noise.
+
+    Values that no decimal holds (beyond 1e32, or not finite) have no digits to round and stay as they are.
+    """
+    exact = F.round(col.try_cast("decimal(38,6)"), digits).cast("double")
+    return F.coalesce(exact, col.cast("double"))
+
+
+def finite(col: Column) -> Column:
+    """Whether a value is a number other than NaN and the infinities; false for null."""
+    return F.coalesce(~F.isnan(col) & (F.abs(col) < float("inf")), F.lit(False))
 
 
 def zscore(value: Column, mean: Column, stddev: Column) -> Column:

@@ -11,10 +11,12 @@ def resolve_timestamp(iso: Column, epoch_ms: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(iso), F.timestamp_millis(epoch_ms.try_cast("bigint")))
 
 
-def doc_timestamp(raw: Column) -> Column:
-    """A document time given as epoch milliseconds or as ISO text; null when neither."""
+def doc_timestamp(raw: Column, unit: str = "ms") -> Column:
+    """A document time given as an epoch (whole or floating, in "s", "ms" or "us") or as ISO text; null when neither."""
     text = raw.cast("string")
-    return F.coalesce(F.timestamp_millis(text.try_cast("bigint")), F.try_to_timestamp(text))
+    epoch = F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    from_epoch = {"s": F.timestamp_seconds, "ms": F.timestamp_millis, "us": F.timestamp_micros}[unit]
+    return F.coalesce(from_epoch(epoch), F.try_to_timestamp(text))
 
 
 def to_epoch_ms(ts: Column) -> Column:

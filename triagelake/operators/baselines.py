@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from triagelake.functions.scores import finite
 from triagelake.operators.quantiles import grouped_profile
 from triagelake.operators.upserts import dedup_keep_last
 
@@ -36,9 +37,12 @@ def metric_baselines(
     """Baselines of all metric series.
 
     A service takes part with at least `min_samples` readings in total, a metric with at least
-    `min_metric_samples`. `since` limits the history; the default is all of it.
+    `min_metric_samples`. `since` limits the history; the default is all of it. Values that are not
+    finite are not samples.
     """
-    history = metrics if since is None else metrics.where(F.col("timestamp") >= since)
+    history = metrics.where(finite(F.col("metric_value")))
+    if since is not None:
+        history = history.where(F.col("timestamp") >= since)
     stats = _statistics(history.select(*KEY, "metric_value", "timestamp"), exact)
     total = F.sum("sample_count").over(Window.partitionBy("service_name"))
     return (
@@ -60,7 +64,7 @@ def error_rate_baseline(logs: DataFrame, exact: bool = True) -> DataFrame:
 
 def latency_baseline(logs: DataFrame, exact: bool = True) -> DataFrame:
     """Baseline of raw latencies under the name of the latency metric; it has no window bounds."""
-    samples = logs.where(F.col("latency_ms").isNotNull()).select(
+    samples = logs.where(finite(F.col("latency_ms"))).select(
         "service_name", F.lit("latency_p95").alias("metric_name"),
         F.col("latency_ms").alias("metric_value"), F.lit(None).cast("timestamp").alias("timestamp"),
     )

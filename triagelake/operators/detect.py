@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from triagelake.functions.scores import (
     classify_incident_type,
     confidence,
+    finite,
     incident_description,
     incident_severity,
     reading_severity,
@@ -64,16 +65,22 @@ def detect_anomalies(
     metrics: DataFrame,
     baselines: DataFrame,
     sigma: float = 3.0,
-    n_latest: int = 5000,
+    n_latest: int | None = None,
     log_sources: tuple[str, ...] = ("logs",),
 ) -> DataFrame:
-    """Readings at least `sigma` deviations away from the mean of their series."""
-    readings = latest_readings(log_first(metrics, log_sources), n_latest)
+    """Readings at least `sigma` deviations away from the mean of their series.
+
+    Every reading is looked at unless `n_latest` asks for the newest of each service only. Readings that are not
+    finite are never anomalies.
+    """
+    readings = log_first(metrics.where(finite(F.col("metric_value"))), log_sources)
+    if n_latest is not None:
+        readings = latest_readings(readings, n_latest)
     z = zscore(F.col("metric_value"), F.col("baseline_mean"), F.col("baseline_stddev"))
     return (
         join_latest_baseline(readings, baselines)
         .withColumn("zscore", z)
-        .where(F.abs("zscore") >= sigma)
+        .where(finite(F.col("zscore")) & (F.abs("zscore") >= sigma))
         .select(
             "timestamp", "service_name", "metric_name", F.col("metric_value").alias("value"), "baseline_mean",
             "zscore", reading_severity(F.col("zscore")).alias("severity"), "source",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triagelake.functions.scores import first_rule, root_cause_text, rounded, zscore
+from triagelake.functions.scores import finite, first_rule, root_cause_text, rounded, zscore
 from triagelake.functions.times import minutes
 from triagelake.operators.baselines import KEY
 from triagelake.operators.intervals import interval_join
@@ -40,7 +40,7 @@ def window_metric_mean(window: DataFrame, baselines: DataFrame) -> DataFrame:
     by_name = F.col("metric_name").isin(*INFRA_METRICS)
 
     def stats(condition, suffix: str):
-        value = F.when(condition, F.col("metric_value"))
+        value = F.when(condition & finite(F.col("metric_value")), F.col("metric_value"))
         return [
             F.count(value).alias(f"n_{suffix}"), F.avg(value).alias(f"avg_{suffix}"),
             F.min(value).alias(f"min_{suffix}"), F.max(value).alias(f"max_{suffix}"),
@@ -73,7 +73,7 @@ def elevated_infra(
 ) -> DataFrame:
     """Infra metrics at least `sigma` away from their baseline, by window mean or by any one reading."""
     column = {"mean": "z_mean", "max_abs": "z_max_abs"}[elevated_by]
-    scored = window_metric_mean(window, baselines).where(F.abs(column) >= sigma)
+    scored = window_metric_mean(window, baselines).where(finite(F.col(column)) & (F.abs(column) >= sigma))
     return scored.select("incident_id", *KEY, "window_mean", rounded(F.col(column), 2).alias("zscore"))
 
 
@@ -96,7 +96,9 @@ def co_observed_pairs(window: DataFrame, primary: DataFrame) -> DataFrame:
     The primary value is spread over the handful of rows of its (incident, time) group, so no self
     join is needed.
     """
-    cells = window.groupBy("incident_id", "timestamp", "metric_name").agg(F.avg("metric_value").alias("value"))
+    cells = window.where(finite(F.col("metric_value"))).groupBy("incident_id", "timestamp", "metric_name").agg(
+        F.avg("metric_value").alias("value")
+    )
     known = cells.join(primary.where(F.col("primary_metric").isNotNull()), "incident_id")
     at = Window.partitionBy("incident_id", "timestamp")
     is_primary = F.col("metric_name") == F.col("primary_metric")

@@ -21,12 +21,28 @@ from pyspark.sql import functions as F
 BINS_PER_E = 369.3299304675746
 OFFSET = 400000
 LARGE_GROUP = 500_000
+# Parts of equal width that a bin is cut into.
+PARTS = 1023
 
 
 def value_bin(value: Column) -> Column:
-    """A bin number that never decreases as the value grows; null for null."""
-    magnitude = F.floor(F.log(F.abs(value)) * BINS_PER_E).cast("bigint") + OFFSET
-    return F.when(value > 0, magnitude).when(value < 0, -magnitude).when(value == 0, F.lit(0).cast("bigint"))
+    """A bin number that never decreases as the value grows; null for null.
+
+    The infinities have the outermost bins, and NaN one above them, as it sorts after all numbers.
+    """
+    magnitude = (F.floor(F.log(F.abs(value)) * BINS_PER_E) + OFFSET).cast("bigint")
+    limit = float("inf")
+    return (
+        F.when(F.isnan(value), F.lit(2 * OFFSET + 1).cast("bigint"))
+        .when(value == limit, F.lit(2 * OFFSET).cast("bigint")).when(value == -limit, F.lit(-2 * OFFSET).cast("bigint"))
+        .when(value > 0, magnitude).when(value < 0, -magnitude).when(value == 0, F.lit(0).cast("bigint"))
+    )
+
+
+def _between(low: Column, high: Column, share: Column) -> Column:
+    """Linear interpolation that also holds next to an infinity."""
+    endless = F.abs(low) == float("inf")
+    return F.when(low == high, low).when(endless, (1 - share) * low + share * high).otherwise(low + share * (high - low))
 
 
 def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
@@ -72,11 +88,13 @@ def grouped_profile(
 def _binned_profile(rows: DataFrame, keys: list[str], probabilities: dict[str, float], sums: list[str]) -> DataFrame:
     """The profile of groups that have values, by bin counts and a second look at the bins that matter."""
     binned = rows.withColumn("_b", value_bin(F.col("_v")))
-    bins = binned.groupBy(*keys, "_b").agg(F.count("_v").alias("_n"), *[F.sum(name).alias(name) for name in sums])
+    bins = binned.groupBy(*keys, "_b").agg(
+        F.count("_v").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), *[F.sum(name).alias(name) for name in sums],
+    )
     group = Window.partitionBy(*keys)
     below = group.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     placed = bins.select(
-        *keys, "_b", "_n",
+        *keys, "_b", "_n", "_low", "_high",
         F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_before"),
         F.sum("_n").over(group).alias("n_values"),
         *[F.sum(name).over(group).alias(name) for name in sums],
@@ -95,11 +113,20 @@ def _binned_profile(rows: DataFrame, keys: list[str], probabilities: dict[str, f
     values = binned.select(*keys, "_b", "_v").where(F.col("_v").isNotNull())
     kept = (
         values.alias("v").join(hits.alias("h"), _same(values, hits, [*keys, "_b"]))
-        .select(*[F.col(f"h.{name}") for name in [*totals, "_b", "_before"]], "v._v")
+        .select(*[F.col(f"h.{name}") for name in [*totals, "_b", "_before", "_low", "_high"]], "v._v")
+    )
+    distinct = kept.groupBy(*totals, "_b", "_before", "_low", "_high", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # A bin may hold most of a group, if its values lie close together: it is cut again inside its own bounds.
+    part = F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low")) * PARTS), F.lit(0))
+    cut = distinct.withColumn("_part", F.when(F.isnan("_v"), 0).otherwise(part).cast("int"))
+    sizes = cut.groupBy(*keys, "_b", "_part").agg(F.sum("_c").alias("_n"))
+    ahead = Window.partitionBy(*keys, "_b").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
+    placed_parts = cut.alias("c").join(offsets.alias("o"), _same(cut, offsets, [*keys, "_b", "_part"])).select("c.*", "o._ahead")
+    within = Window.partitionBy(*keys, "_b", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = placed_parts.withColumn(
+        "_start", F.col("_before") + F.col("_ahead") + F.coalesce(F.sum("_c").over(within), F.lit(0))
     )
-    distinct = kept.groupBy(*totals, "_b", "_before", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = distinct.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_c").over(within), F.lit(0)))
 
     def at(position: Column) -> Column:
         return F.max(F.when(holds(position, F.col("_start"), F.col("_c")), F.col("_v")))
@@ -111,7 +138,7 @@ def _binned_profile(rows: DataFrame, keys: list[str], probabilities: dict[str, f
     ]
     picked = ranked.groupBy(*totals).agg(*edges)
     interpolated = [
-        (F.col(f"_lo{i}") + (rank(p) - F.floor(rank(p))) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name)
+        _between(F.col(f"_lo{i}"), F.col(f"_hi{i}"), rank(p) - F.floor(rank(p))).alias(name)
         for i, (name, p) in enumerate(probabilities.items())
     ]
     return picked.select(*totals, *interpolated)

@@ -82,14 +82,15 @@ def discover_services(df: DataFrame) -> DataFrame:
 
 
 def top_services(
-    docs: DataFrame, start: Column, end: Column, size: int = 500, ts: str = "timestamp_dt"
+    docs: DataFrame, start: Column, end: Column, size: int | None = None, ts: str = "timestamp_dt"
 ) -> DataFrame:
-    """The services with the most documents between `start` and `end`, at most `size` of them."""
-    return (
+    """The services by their documents between `start` and `end`, most first; the first `size` if given."""
+    ranked = (
         docs.where((F.col(ts) >= start) & (F.col(ts) <= end))
         .groupBy("service_name").agg(F.count(F.lit(1)).alias("doc_count"))
-        .orderBy(F.desc("doc_count"), "service_name").limit(size)
+        .orderBy(F.desc("doc_count"), "service_name")
     )
+    return ranked if size is None else ranked.limit(size)
 
 
 def log_count(logs: DataFrame, as_of: Column, window_minutes: float = 60, service: str | None = None) -> DataFrame:
@@ -160,8 +161,8 @@ def incidents_by_service_severity(incidents: DataFrame) -> DataFrame:
 
 
 def list_incidents(incidents: DataFrame, limit: int = 200, **filters) -> DataFrame:
-    """Newest incidents first, at most 500."""
-    return filter_incidents(incidents, **filters).orderBy(F.desc("timestamp"), "id").limit(min(limit, 500))
+    """The `limit` newest incidents, newest first."""
+    return filter_incidents(incidents, **filters).orderBy(F.desc("timestamp"), "id").limit(limit)
 
 
 def list_metrics(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from triagelake.functions.scores import rounded
 from triagelake.functions.text import is_error, safe_double, safe_long
@@ -153,6 +154,7 @@ def buckets_to_metrics(buckets: DataFrame, source: str = "opensearch") -> DataFr
 def scroll_to_metrics(
     docs: DataFrame,
     ts: str = "timestamp",
+    unit: str = "ms",
     level: str = "log_level",
     latency: str = "latency_ms",
     status: str = "status_code",
@@ -161,10 +163,14 @@ def scroll_to_metrics(
     source: str = "opensearch",
     exact: bool = True,
 ) -> DataFrame:
-    """Raw documents with loosely typed fields to metric rows; documents without a valid time are dropped."""
+    """Raw documents with loosely typed fields to metric rows; documents without a valid time are dropped.
+
+    `ts` names a time that is typed already, an epoch in `unit`, or ISO text.
+    """
+    typed_time = isinstance(docs.schema[ts].dataType, T.TimestampType)
     typed = docs.select(
         F.col(service).alias("service_name"),
-        doc_timestamp(F.col(ts)).alias("timestamp_dt"),
+        (F.col(ts) if typed_time else doc_timestamp(F.col(ts), unit)).alias("timestamp_dt"),
         is_error(F.col(level), policy="docs").alias("is_error"),
         safe_double(F.col(latency)).alias("latency_ms"),
         safe_long(F.col(status)).alias("status_code"),

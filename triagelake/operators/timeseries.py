@@ -10,12 +10,15 @@ from triagelake.schemas import METRIC_KEY
 
 
 def time_grid(services: DataFrame, metrics: list[str], start: Column, end: Column, step_minutes: int = 5) -> DataFrame:
-    """Every (timestamp, service, metric) from `start` to before `end`, generated where the service row is."""
+    """Every (timestamp, service, metric) from `start` to before `end`, generated where the service row is.
+
+    An empty range gives no rows.
+    """
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(step_minutes))
     last = end - F.expr("interval 1 microsecond")
     return (
         services.select("service_name")
-        .withColumn("timestamp", F.explode(F.sequence(start, last, step)))
+        .withColumn("timestamp", F.explode(F.when(start < end, F.sequence(start, F.greatest(start, last), step))))
         .withColumn("metric_name", F.explode(F.array(*map(F.lit, metrics))))
         .select("timestamp", "service_name", "metric_name")
     )
@@ -35,16 +38,18 @@ def override_in_windows(metrics: DataFrame, overrides: DataFrame, bin_seconds: i
     spans = overrides.select(
         "service_name", "metric_name", "window_start", "window_end", "new_value", "priority",
     )
+    # The winner is found once for each key and joined, so that readings with equal keys all stay.
     hit = interval_join(
-        metrics, spans, ["service_name", "metric_name"], "timestamp", "window_start", "window_end",
-        bin_seconds, how="left",
+        metrics.select(*METRIC_KEY).distinct(), spans, ["service_name", "metric_name"], "timestamp", "window_start",
+        "window_end", bin_seconds,
     )
-    latest = Window.partitionBy(*METRIC_KEY).orderBy(F.desc_nulls_last("priority"))
-    return (
-        hit.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1")
-        .withColumn("metric_value", F.coalesce("new_value", "metric_value"))
-        .select(*metrics.columns)
+    latest = Window.partitionBy(*METRIC_KEY).orderBy(F.desc_nulls_last("priority"), F.desc("new_value"))
+    winners = hit.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").select(
+        *METRIC_KEY, F.col("new_value").alias("_new")
     )
+    return metrics.join(winners, METRIC_KEY, "left").withColumn(
+        "metric_value", F.coalesce("_new", "metric_value")
+    ).select(*metrics.columns)
 
 
 def sub_windows(spans: DataFrame, start: str, end: str, hours: int = 1) -> DataFrame:

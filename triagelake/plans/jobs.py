@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from triagelake.functions.scores import finite
+from triagelake.functions.times import doc_timestamp
 from triagelake.operators import detect, evaluation
 from triagelake.operators.baselines import (
     error_rate_baseline,
@@ -23,6 +26,7 @@ from triagelake.schemas import BASELINE, INCIDENT, LOG, METRIC
 from triagelake.session import materialize
 from triagelake.sources import tables
 from triagelake.sources.cloud import normalize_cloud_metric, read_cloud_datapoints
+from triagelake.sources.documents import FIELDS
 from triagelake.sources.log_files import entries_from_rows, parse_entries, read_logs
 
 
@@ -51,11 +55,31 @@ def ingest_docs(
     end: Column | None = None,
     bucket: str = "5 minutes",
     raw: bool = False,
+    service: str | None = None,
+    fields: dict[str, str] | None = None,
+    unit: str = "ms",
 ) -> DataFrame:
-    """Documents of all services to metric rows, by bucket profile or from loosely typed fields (`raw`)."""
-    if raw:
-        return scroll_to_metrics(docs, bucket=bucket)
-    return buckets_to_metrics(bucket_profile(docs, start, end, bucket=bucket))
+    """Documents to metric rows, by bucket profile or from loosely typed fields (`raw`).
+
+    Both ways take a half open range, a service and the store's own field names by role (see
+    `sources.documents.FIELDS`); raw times may be typed, epochs in `unit` or ISO text.
+    """
+    names = {"timestamp": "timestamp" if raw else "timestamp_dt", **{k: v for k, v in FIELDS.items() if k != "timestamp"}, **(fields or {})}
+    if service is not None:
+        docs = docs.where(F.col(names["service"]) == service)
+    if not raw:
+        renamed = {names[k]: v for k, v in {**FIELDS, "timestamp": "timestamp_dt"}.items() if names[k] != v}
+        return buckets_to_metrics(bucket_profile(docs.withColumnsRenamed(renamed), start, end, bucket=bucket))
+    if not isinstance(docs.schema[names["timestamp"]].dataType, T.TimestampType):
+        docs = docs.withColumn(names["timestamp"], doc_timestamp(F.col(names["timestamp"]), unit))
+    if start is not None:
+        docs = docs.where(F.col(names["timestamp"]) >= start)
+    if end is not None:
+        docs = docs.where(F.col(names["timestamp"]) < end)
+    return scroll_to_metrics(
+        docs, names["timestamp"], level=names["level"], latency=names["latency"], status=names["status_code"],
+        service=names["service"], bucket=bucket,
+    )
 
 
 def ingest_cloud_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -143,7 +167,9 @@ def run_all(
         if extra_metrics is not None:
             parts.append(extra_metrics)
         names = [c for c in METRIC.fieldNames() if c != "created_at"]
-        merged = union_sources(*[part.select(*names) for part in parts]).withColumn("created_at", now)
+        merged = union_sources(*[part.select(*names) for part in parts]).where(finite(F.col("metric_value"))).withColumn(
+            "created_at", now
+        )
         tables.append_batch(merged, paths["metrics"], ingest_seq, METRIC)
         return tables.read_batches(spark, paths["metrics"], METRIC).where(F.col("ingest_seq") == ingest_seq).count()
 

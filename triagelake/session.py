@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,19 +36,38 @@ def build_session(app_name: str = "triagelake", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+_LOCAL: list[str] = []
+_RUN = uuid.uuid4().hex
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (`spark.checkpoint.dir`); a local one only where that is unset."""
+    """The cluster's shared folder (`spark.checkpoint.dir`).
+
+    Where that is unset, a local session uses a folder of this process, which goes with it; on a cluster that
+    would lose data, so it is an error there.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="triagelake-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="triagelake-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/triagelake/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this process's part of it."""
+    return f"{shared_dir(spark)}/triagelake/{_RUN}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this process has stored below the shared folder; frames that read it can no longer be used."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/triagelake/{_RUN}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 BROADCAST_ROWS = 2_000_000

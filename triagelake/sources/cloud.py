@@ -21,19 +21,23 @@ def cloud_mapping() -> Column:
     return F.create_map(*pairs)
 
 
-def explode_datapoints(responses: DataFrame) -> DataFrame:
-    """One row per datapoint of each response."""
+def explode_datapoints(responses: DataFrame, service: Column | None = None) -> DataFrame:
+    """One row per datapoint of each response.
+
+    The service is the last path segment of the resource; `service` gives another expression over the response, such
+    as the service that a database or a load balancer belongs to.
+    """
     return responses.withColumn("p", F.explode("Datapoints")).select(
         F.col("Namespace").alias("namespace"), F.col("MetricName").alias("cloud_metric"),
-        last_path_segment(F.col("Resource")).alias("service_name"),
+        (last_path_segment(F.col("Resource")) if service is None else service).alias("service_name"),
         F.col("p.Timestamp").alias("timestamp"),
         F.col("p.Average").alias("average"), F.col("p.Sum").alias("sum"), F.col("p.Maximum").alias("maximum"),
     )
 
 
-def read_cloud_datapoints(spark: SparkSession, path: str) -> DataFrame:
+def read_cloud_datapoints(spark: SparkSession, path: str, service: Column | None = None) -> DataFrame:
     """Datapoints of stored responses, one JSON response per line."""
-    return explode_datapoints(spark.read.schema(CLOUD_RESPONSE).json(path))
+    return explode_datapoints(spark.read.schema(CLOUD_RESPONSE).json(path), service)
 
 
 def normalize_cloud_metric(points: DataFrame, source: str = "cloudwatch") -> DataFrame:

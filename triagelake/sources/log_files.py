@@ -37,12 +37,12 @@ ROW_COLUMNS = "file bigint, service_name string, block bigint, rid bigint, ts_ms
 
 
 def discover_log_files(spark: SparkSession, path: str, service_from: str = "stem") -> DataFrame:
-    """Lines of all `*.csv` files below a folder, with service, file, block and order.
+    """Lines of all `*.csv` files of a folder, with service, file, block and order.
 
-    The service is the file's stem, or with `service_from="dir"` the name of the folder that holds
-    the file (`svc-1` or `service_name=svc-1`). A missing or empty folder gives no lines.
+    The service is the file's stem, or with `service_from="dir"` the name of the folder that holds the file
+    (`svc-1` or `service_name=svc-1`); only then sub-folders are read. A missing or empty folder gives no lines.
     """
-    reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", str(service_from == "dir").lower())
     try:
         lines = reader.text(path)
     except AnalysisException as error:

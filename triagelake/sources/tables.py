@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,13 +76,23 @@ def write_metrics_csv(metrics: DataFrame, path: str) -> None:
 
 
 def read_ground_truth(spark: SparkSession, path: str | None = None, lines: bool = False) -> DataFrame:
-    """Labelled windows with their position: a JSON array in one file, or the built-in two.
+    """Labelled windows with their position: a JSON array in a file, or the built-in two, also if there is no such file.
+
+    Of a folder of manifests the files follow each other by name.
 
     A label set too large for one file is read with `lines=True` from JSON lines that carry their
     position as `gt_pos`.
     """
-    if path is not None and lines:
-        return spark.read.schema(T.StructType([T.StructField("gt_pos", T.LongType()), *GROUND_TRUTH.fields])).json(path)
+    if path is not None:
+        try:
+            if lines:
+                schema = T.StructType([T.StructField("gt_pos", T.LongType()), *GROUND_TRUTH.fields])
+                return spark.read.schema(schema).json(path)
+            return _manifest(spark, path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            path = None
     if path is None:
         rows = [(i, *row) for i, row in enumerate(DEFAULT_GROUND_TRUTH)]
         names = ["gt_pos", "service_name", "incident_type", "_from", "_to", "label"]
@@ -92,17 +102,31 @@ def read_ground_truth(spark: SparkSession, path: str | None = None, lines: bool
             *names[:3], F.to_timestamp("_from").alias("window_start"), F.to_timestamp("_to").alias("window_end"),
             "label",
         )
-    manifest = spark.read.text(path, wholetext=True)
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Manifests are small by nature; their windows are numbered in one task."""
+    manifest = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     windows = F.from_json("value", T.ArrayType(GROUND_TRUTH))
-    return manifest.select(F.posexplode(windows).alias("gt_pos", "g")).select(
-        F.col("gt_pos").cast("bigint").alias("gt_pos"), "g.*"
-    )
+    numbered = F.row_number().over(Window.orderBy("file", "at")).cast("bigint") - 1
+    return manifest.select("file", F.posexplode(windows).alias("at", "g")).select(numbered.alias("gt_pos"), "g.*")
 
 
 def write_evaluation_report(parts: dict[str, DataFrame], path: str) -> None:
-    """Every part of the report as JSON lines in a folder of its own."""
+    """Every part of the report as JSON lines in a folder of its own, the summary with the time of writing."""
     for name, part in parts.items():
-        part.write.mode("overwrite").json(f"{path}/{name}")
+        dated = part.withColumn("generated_at", F.current_timestamp()) if name == "summary" else part
+        dated.write.mode("overwrite").json(f"{path}/{name}")
+
+
+def read_evaluation_part(spark: SparkSession, path: str, part: str, schema: T.StructType | str) -> DataFrame:
+    """A stored part of the report (per-service scores, matches, misses, ...); a part not written yet is empty."""
+    try:
+        return spark.read.schema(schema).json(f"{path}/{part}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_evaluation_summary(spark: SparkSession, path: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from triagelake.functions.scores import (
     classify_incident_type,
     confidence,
+    finite,
     incident_severity,
     reading_severity,
     rounded,
@@ -62,7 +63,7 @@ def detect_stream(metrics: DataFrame, baselines: DataFrame, sigma: float = 3.0)
     return (
         join_latest_baseline(metrics, baselines)
         .withColumn("zscore", z)
-        .where(F.abs("zscore") >= sigma)
+        .where(finite(F.col("zscore")) & (F.abs("zscore") >= sigma))
         .select(
             "timestamp", "service_name", "metric_name", F.col("metric_value").alias("value"), "baseline_mean",
             "zscore", reading_severity(F.col("zscore")).alias("severity"), "source",
