@@ -31,7 +31,7 @@ END_ID = 2
 OUT_TOKENS = 1 << 20
 SCHEMA = "part int, doc_id long, order long, n_tokens long, ids array<int>"
 ORC = {
-    "compression": "zstd", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
+    "compression": "snappy", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
     "orc.create.index": "true", "orc.row.index.stride": "2000", "orc.stripe.size": str(32 << 20),
 }
 

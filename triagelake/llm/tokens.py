@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -38,6 +39,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -52,7 +54,12 @@ class Encoder:
         new = parts.difference(self.known)
         if len(self.known) + len(new) > KEPT:
             self.known, new = {}, parts
-        plain = [x for x in new if _PLAIN.fullmatch(x)]
+        simple = [x for x in new if x.isascii() and x.isalpha() and x.islower()]
+        # The model alone does for a-z: there is nothing to normalize and no byte to rename.
+        tokenize = self.model.tokenize
+        for x in simple:
+            self.known[x] = array("I", [t.id for t in tokenize(x)]).tobytes()
+        plain = [x for x in new.difference(simple) if _PLAIN.fullmatch(x)]
         if plain:
             ids = np.asarray(
                 self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4"
@@ -63,7 +70,7 @@ class Encoder:
                 self.known.update(zip(plain, map(raw.__getitem__, map(slice, [0, *stops], stops)), strict=True))
             else:  # a tokenizer that cuts words otherwise
                 self.known.update((x, self.one(x)) for x in plain)
-        self.known.update((x, self.one(x)) for x in new.difference(plain))
+        self.known.update((x, self.one(x)) for x in new.difference(simple, plain))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """All ids of each text as little-endian unsigned 32-bit integers; null as an empty text."""
