@@ -113,4 +113,5 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document by how much better the model of documents labelled good predicts it than that of all."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
-    return score_documents(docs, gather(docs.join(good, "doc_id", "left")))
+    # Labels grow with the corpus, so they are never broadcast: a plan of one kind at every size.
+    return score_documents(docs, gather(docs.join(good.hint("merge"), "doc_id", "left")))
