@@ -120,6 +120,27 @@ def utf8(column: pa.Array) -> Iterator[np.ndarray]:
         yield raw[:0] if nulls is not None and nulls[i] else raw[at[i]:at[i + 1]]
 
 
+def _slice_of(value: Column, bounds: list[float], first: int = 0) -> Column:
+    """Number of bounds at or below the value, by halving."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    return F.when(value < bounds[mid], _slice_of(value, bounds[:mid], first)).otherwise(
+        _slice_of(value, bounds[mid + 1:], first + mid + 1)
+    )
+
+
+def id_slices(df: DataFrame, column: str, slices: int) -> tuple[Column, int]:
+    """A slice number that follows the order of a numeric column, null first, and the number of slices.
+
+    The bounds are quantiles of that column alone, so nothing else is read for them; there are as many as slices.
+    """
+    found = df.approxQuantile(column, [i / slices for i in range(1, slices)], 0.2 / slices) if slices > 1 else []
+    bounds = sorted(set(found))
+    value = F.col(column)
+    return F.when(value.isNull(), 0).otherwise(_slice_of(value, bounds)).cast("int"), len(bounds) + 1
+
+
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from triagelake.llm.common import column_of, shingles, table, utf8, word_hashes
+from triagelake.llm.common import column_of, id_slices, shingles, table, utf8, word_hashes
 
 WORDS = 5
 K = 128
@@ -142,16 +142,6 @@ def _merge_all(texts: list[str], k: int) -> np.ndarray:
     return total
 
 
-def _slice_of(value: Column, bounds: list[float], first: int = 0) -> Column:
-    """Number of bounds at or below the value, by halving."""
-    if not bounds:
-        return F.lit(first)
-    mid = len(bounds) // 2
-    return F.when(value < bounds[mid], _slice_of(value, bounds[:mid], first)).otherwise(
-        _slice_of(value, bounds[mid + 1:], first + mid + 1)
-    )
-
-
 def with_next(docs: DataFrame, slices: int) -> DataFrame:
     """(slice, tail, doc_id, order, text): documents in order within slices of the id range, each partition one
     slice, and at its end a copy of the next slice's first document (tail), the last slice's being the first of all.
@@ -159,21 +149,22 @@ def with_next(docs: DataFrame, slices: int) -> DataFrame:
     Each text is shuffled once; only the copies, one for each slice, travel twice.
     """
     rows = docs.withColumn("order", F.xxhash64("text"))
-    bounds = sorted(set(docs.approxQuantile("doc_id", [i / slices for i in range(1, slices)], 0.2 / slices)))
-    sliced = rows.withColumn("slice", F.when(F.col("doc_id").isNull(), 0).otherwise(_slice_of(F.col("doc_id"), bounds)))
+    number, n_slices = id_slices(docs, "doc_id", slices)
+    sliced = rows.withColumn("slice", number)
     firsts = sliced.groupBy("slice").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "order")).alias("head"))
     around = Window.orderBy(F.col("slice").desc())
     heads = firsts.select(
         F.col("head.doc_id").alias("_id"), F.col("head.order").alias("_order"),
         F.coalesce(F.lag("slice").over(around.orderBy("slice")), F.max("slice").over(Window.partitionBy(F.lit(0)))).alias("_slice"),
     )
-    tails = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("order") == F.col("_order"))).groupBy("_slice").agg(
+    # One head for each slice: their number is bounded by the number of slices, so they may be broadcast.
+    tails = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("order") == F.col("_order"))).groupBy("_slice").agg(
         F.any_value("doc_id").alias("doc_id"), F.any_value("order").alias("order"), F.any_value("text").alias("text")
     )
     both = sliced.select("slice", F.lit(False).alias("tail"), "doc_id", "order", "text").unionByName(
         tails.select(F.col("_slice").alias("slice"), F.lit(True).alias("tail"), "doc_id", "order", "text")
     )
-    return both.repartitionById(len(bounds) + 1, F.col("slice").cast("int")).sortWithinPartitions(
+    return both.repartitionById(n_slices, F.col("slice").cast("int")).sortWithinPartitions(
         "slice", "tail", F.col("doc_id").asc_nulls_first(), "order"
     )
 
