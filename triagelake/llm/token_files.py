@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from triagelake.llm.common import column_of, table
+from triagelake.llm.common import column_of, id_slices, table
 from triagelake.llm.tokens import default_path, encoder
 from triagelake.session import scratch_path
 
@@ -63,10 +63,12 @@ def encoded_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, doc_id: str = "doc_id",
                  text: str = "text") -> None:
     """Write the ids of every text, dealt to files by ranges of ids. Texts are shuffled once, before encoding."""
-    ranged = docs.select(
+    rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("order"), F.col(text).alias("text")
-    ).repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "order")
-    ranged.select(F.spark_partition_id().alias("part"), "doc_id", "order", "text").mapInArrow(
+    )
+    part, parts = id_slices(rows, "doc_id", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = rows.withColumn("part", part).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "order")
+    ranged.select("part", "doc_id", "order", "text").mapInArrow(
         lambda batches: encoded_batches(batches, tokenizer, end_id), SCHEMA
     ).write.options(**ORC).orc(folder)
 

@@ -15,7 +15,8 @@ _MARKS = r"!-&(-/:-@\[-`{-~"
 #: What it cuts a text of these characters into, white space dropped: letters, one digit, or marks.
 _PARTS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+")
 _PLAIN = re.compile(f"[{_LETTERS}]+")
-#: Anything else: an apostrophe (contractions), other letters, marks that combine, a special token's opening.
+#: Anything else: an apostrophe (contractions), other letters, marks that combine, a special token's opening. A text
+#: without any is recognised by its length: parts and white space add up to it.
 _OTHER = re.compile(f"[^A-ZÀ-ÖØ-Þ{_LETTERS}0-9{_MARKS} \n\t\r]|<\\|")
 _GAP = re.compile(r"[ \n\t\r]+")
 #: Entries kept before a store is emptied, which bounds a worker's memory.
@@ -90,8 +91,10 @@ class Encoder:
 
 
 def _parts(text: str) -> list[str]:
-    if not _OTHER.search(text):
-        return _PARTS.findall(text.lower())
+    parts = _PARTS.findall(text.lower())
+    gaps = text.count(" ") + text.count("\n") + text.count("\t") + text.count("\r")
+    if sum(map(len, parts)) + gaps == len(text) and "<|" not in text:
+        return parts
     return list(chain.from_iterable(
         _GAP.split(line) if _OTHER.search(line) else _PARTS.findall(line.lower()) for line in text.split("\n")
     ))
