@@ -116,7 +116,10 @@ def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", c
     judged = base_measures(docs, doc_id, text, carried).withColumn("good", good_lines(F.col("lines")))
     left = F.aggregate(F.transform("good", lambda x: x["size"]), F.lit(0), lambda a, b: a + b)
     return judged.withColumns({
-        "kept": ~F.col("base_failed") & (100 * (F.col("word_chars") - left) <= MOST_LOST * F.col("word_chars")),
+        # The row number is always 0 or more. As it is not deterministic, a filter on kept stays above the measures
+        # instead of being pushed below them with all of them spelled out in its condition.
+        "kept": ~F.col("base_failed") & (100 * (F.col("word_chars") - left) <= MOST_LOST * F.col("word_chars"))
+        & (F.monotonically_increasing_id() >= 0),
         "cleaned": F.array_join(F.transform("good", lambda x: x["line"]), "\n"),
     }).drop("lines", "good")
 
@@ -124,9 +127,7 @@ def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", c
 def cleaned_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents that are kept, with all their columns, cleaned text and its length in characters."""
     others = tuple(c for c in docs.columns if c not in (text, n_chars))
-    # A filter on kept alone would be pushed below the measures, with all of them spelled out in its condition; one
-    # that also reads a row number, which is not deterministic, stays above them.
-    judged = judge_quality(docs, doc_id, text, others).withColumn("_row", F.monotonically_increasing_id()).where("kept and _row >= 0")
+    judged = judge_quality(docs, doc_id, text, others).where("kept")
     new = {text: F.col("cleaned"), n_chars: F.length("cleaned").cast("long")}
     return judged.select(*(new[c].alias(c) if c in new else F.col("own").getField(c).alias(c) for c in docs.columns))
 
