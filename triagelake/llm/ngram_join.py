@@ -10,11 +10,14 @@ List lengths come from a count of all shingles of all documents in hashed classe
 decide the order (short lists first, then by hash), which is the same for every document, so results do not depend
 on it.
 
-Equal sets are one node. Only components are asked for, so candidates are taken in rounds: first each list's
-smallest node (its pivot) with the others, then eight pivots of each list, and so on; when the lists that still hold
-several components are short, all their pairs of different components. A group of near copies is thus joined through its pivot in a number of candidates
-that grows with the group, not with its square; no pair of different components that meets in a short list is left
-untested.
+Equal sets are one node. Only components are asked for, so candidates are taken in rounds. A list of at most four
+members for each pivot gives all its pairs of different components and is done; a longer one gives its smallest node
+(its pivot) with the others, in the next round eight pivots, and so on, until it is done or holds one component. A
+group of near copies is thus joined through its pivot in a number of candidates that grows with the group, not with
+its square; no pair of different components that meets in a short list is left untested.
+
+Each set has a bit array in which every shingle flips one bit. Two arrays differ in no more bits than their sets do
+in elements, so pairs whose arrays differ in too many are dropped before any text is fetched.
 
 Edge cases: null texts count as empty: no shingles, linked with nothing, each its own component. A text of fewer
 words than a shingle is one shingle. Rows with equal texts link, whatever their ids; a null id never names a
@@ -46,6 +49,10 @@ COUNT_BITS = 23
 FILTER_BITS = 23
 #: Each round takes so many times the pivots of the one before.
 MORE = 8
+#: Members of a list, for each pivot, up to which all its pairs are taken.
+WHOLE = 4
+#: Bits of the array that bounds what two sets share.
+FLIP_BITS = 512
 
 
 def shingle_set(raw: np.ndarray, words: int = WORDS) -> np.ndarray:
@@ -70,62 +77,84 @@ def list_lengths(docs: DataFrame, words: int = WORDS, bits: int = COUNT_BITS) ->
     return np.log2(np.maximum(total, 1)).astype(np.uint8)
 
 
+def flipped(own: np.ndarray) -> np.ndarray:
+    """The bits that a set's elements flip, as longs."""
+    odd = np.bincount((own & np.uint64(FLIP_BITS - 1)).astype(np.int64), minlength=FLIP_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(docs: DataFrame, lengths: np.ndarray, words: int, bits: int, percent: int) -> DataFrame:
-    """(row, doc_id, tag, n, key, short) of each row: key names the set, short are the shingles of its short lists."""
+    """(row, doc_id, tag, n, key, flips, short) of each row: key names the set, short are the shingles of its short lists."""
     shared = docs.sparkSession.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 rows = batch.slice(at, OUT_ROWS)
-                n, keys, short = [], [], []
+                n, keys, flips, short = [], [], [], []
                 for raw in utf8(column_of(rows, "text")):
                     own = shingle_set(raw, words)
                     n.append(len(own))
                     keys.append(xxhash.xxh3_128_digest(own.tobytes()))
+                    flips.append(flipped(own))
                     order = np.argsort(shared.value[(own >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")
                     short.append(own[order[:len(own) - least_overlap(len(own), percent) + 1]].view(np.int64) if len(own) else own.view(np.int64))
                 sizes = np.concatenate(([0], np.cumsum([len(x) for x in short]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [column_of(rows, "row"), column_of(rows, "doc_id"), column_of(rows, "tag"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * (FLIP_BITS // 64)), pa.array(np.concatenate(flips))),
                      pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(short)))],
-                    names=["row", "doc_id", "tag", "n", "key", "short"],
+                    names=["row", "doc_id", "tag", "n", "key", "flips", "short"],
                 )
 
     return docs.select("row", "doc_id", "tag", "text").mapInArrow(
-        run, "row long, doc_id long, tag long, n long, key binary, short array<long>"
+        run, "row long, doc_id long, tag long, n long, key binary, flips array<long>, short array<long>"
     )
 
 
-def _candidates(members: DataFrame, pivots: int | None, percent: int) -> DataFrame:
-    """Distinct (a, b): pairs of one list in different components whose sizes and places allow the similarity.
+def _open(members: DataFrame) -> DataFrame:
+    """The members of lists that hold several components, with the length k of their list."""
+    lists = members.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k"))
+    return members.join(lists.where("lo < hi").select("shingle", "k"), "shingle")
+
+
+def _candidates(open_: DataFrame, pivots: int, percent: int) -> DataFrame:
+    """Distinct (a, b, size): pairs of one list in different components whose sizes and places allow the similarity.
 
     `at` is a shingle's place in its set's order. A pair's first common shingle has all others behind it, so no more
     can be shared than is left in either set from there on; a similar pair passes this test in that list.
 
-    With a number of pivots each list gives the pairs of so many of its nodes, the smallest of each salt; with None
-    all its pairs. Members of a list share their node order, so a < b.
+    Lists of up to WHOLE members for each pivot give all their pairs, others the pairs of so many of their nodes, the
+    smallest of each salt. size is that of both sets together.
     """
-    lists = members.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("shingle")
-    open_ = members.join(lists, "shingle", "left_semi")
-    if pivots is None:
-        first = open_.select("shingle", *(F.col(x).alias(y) for x, y in (("node", "a"), ("n", "na"), ("at", "ta"), ("label", "la"))))
-    else:
-        salt = F.pmod(F.xxhash64("node"), F.lit(pivots))
-        first = open_.groupBy("shingle", salt.alias("salt")).agg(
-            F.min("node").alias("a"), F.min_by("n", "node").alias("na"), F.min_by("at", "node").alias("ta"),
-            F.min_by("label", "node").alias("la"),
-        ).drop("salt")
-    second = open_.select("shingle", *(F.col(x).alias(y) for x, y in (("node", "b"), ("n", "nb"), ("at", "tb"), ("label", "lb"))))
-    met = second.join(first, "shingle")
-    fits = (100 + percent) * F.least(F.col("na") - F.col("ta"), F.col("nb") - F.col("tb")) >= percent * (F.col("na") + F.col("nb"))
-    if pivots is None:
-        met = met.where("a < b")
+    left, right = ([("node", x), ("n", f"n{x}"), ("at", f"t{x}"), ("label", f"l{x}")] for x in "ab")
+    whole, long = open_.where(F.col("k") <= WHOLE * pivots), open_.where(F.col("k") > WHOLE * pivots)
+    salt = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("salt")
+    first = long.groupBy("shingle", salt).agg(
+        F.min("node").alias("a"), *(F.min_by(x, "node").alias(y) for x, y in left[1:])
+    ).drop("salt")
+    one, other = (whole.select("shingle", *(F.col(x).alias(y) for x, y in side)) for side in (left, right))
+    met = one.join(other, "shingle").where("a < b").unionByName(
+        long.select("shingle", *(F.col(x).alias(y) for x, y in right)).join(first, "shingle")
+    )
+    size = F.col("na") + F.col("nb")
+    fits = (100 + percent) * F.least(F.col("na") - F.col("ta"), F.col("nb") - F.col("tb")) >= percent * size
     return met.where((F.col("la") != F.col("lb")) & fits).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), size.alias("size")
     ).distinct()
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bit arrays allow the similarity; size - differing bits is twice what they can share."""
+    sides = [sets.select(F.col("row").alias(x), F.col("flips").alias(f"flips_{x}")) for x in "ab"]
+    differ = F.aggregate(
+        F.zip_with("flips_a", "flips_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
+    return pairs.join(sides[0], "a").join(sides[1], "b").where(
+        (100 + percent) * (F.col("size") - differ) >= 2 * percent * F.col("size")
+    ).select("a", "b")
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) that reach the overlap. Each pair's texts are met row by row; no group is gathered."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,27 +228,33 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         F.min("row").alias("node"), F.max("n").alias("n"), F.min("doc_id").alias("id"),
         F.coalesce(F.min_by("row", "doc_id"), F.min("row")).alias("first"), F.min_by("tag", "row").alias("tag"),
     ), "nodes")
-    short = materialize(
-        filled.select(F.col("row").alias("node"), "short").join(nodes.select("node"), "node", "left_semi")
-        .select("node", F.posexplode("short").alias("at", "shingle")), "short-lists",
-    )
-    # Lists of one node lead nowhere; they are most of all lists.
-    shared = short.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle")
-    lists = materialize(short.join(shared, "shingle", "left_semi").join(nodes.select("node", "n"), "node"), "lists")
-    met = materialize(lists.select("node").distinct(), "met")
-    labels = met.withColumn("label", F.col("node"))
-    found, pivots = None, 1
+    postings = filled.select(F.col("row").alias("node"), F.posexplode("short").alias("at", "shingle"))
+    # Lists of one row lead nowhere; they are most of all lists. Those of equal sets alone hold one node.
+    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle")
+    lists = materialize(postings.join(shared, "shingle", "left_semi").join(nodes.select("node", "n"), "node"), "lists")
+    members = lists.withColumn("label", F.col("node"))
+    met = labels = found = tested = None
+    pivots = 1
     while True:
-        members = lists.join(labels, "node") if found is not None else lists.withColumn("label", F.col("node"))
-        pairs = materialize(_candidates(members, pivots, percent), "pairs")
-        texts = materialize(_texts(rows, pairs, nodes), "texts")
-        linked = materialize(_linked(pairs, texts, words, percent), "linked")
-        found = linked if found is None else found.unionByName(linked)
+        open_ = materialize(_open(members), "open")
+        if open_.isEmpty():
+            break
+        if met is None:
+            met = labels = materialize(open_.select("node", F.col("node").alias("label")).distinct(), "labels")
+        fresh = _candidates(open_, pivots, percent)
+        if tested is not None:
+            fresh = fresh.join(tested, ["a", "b"], "left_anti")
+        fresh = materialize(fresh, "pairs")
+        tested = fresh.select("a", "b") if tested is None else tested.unionByName(fresh.select("a", "b"))
+        pairs = materialize(_possible(fresh, sets, percent), "possible")
+        linked = materialize(_linked(pairs, _texts(rows, pairs, nodes), words, percent), "linked")
         if not linked.isEmpty():
+            found = linked if found is None else found.unionByName(linked)
             labels = materialize(components(met, found), "components")
-        if pivots is None:
-            break
-        pivots = pivots * MORE if _longest(lists.join(labels, "node")) > 4 * pivots else None
+        members = open_.where(F.col("k") > WHOLE * pivots).drop("label", "k").join(labels, "node")
+        pivots *= MORE
+    if labels is None:
+        labels = nodes.select("node", F.col("node").alias("label"))
     whole = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = whole.groupBy("label").agg(
         F.min("id").alias("component_id"), F.coalesce(F.min_by("first", "id"), F.min("node")).alias("_keeper")
@@ -234,12 +269,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     return marked.unionByName(alone)
 
 
-def _longest(members: DataFrame) -> int:
-    """Members of the longest list that holds several components."""
-    open_ = members.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k"))
-    return open_.where("lo < hi").agg(F.max("k").alias("k")).first()["k"] or 0
-
-
 def _tag() -> Column:
     return F.xxhash64("doc_id", "text")
 
