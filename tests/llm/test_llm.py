@@ -303,8 +303,9 @@ def brute_components(rows, words, percent):
     return [(doc_id, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None)) for i, (doc_id, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("percent", [85, 60])
-def test_join_finds_every_component(spark, odd, percent):
+@pytest.mark.parametrize(("percent", "width"), [(85, 3), (60, 100)])
+def test_join_finds_every_component(spark, odd, percent, width, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SLICE", width)
     draw = np.random.default_rng(3)
     rows = [(r[0], r[1]) for r in ROWS]
     base = [f"w{i}" for i in range(60)]

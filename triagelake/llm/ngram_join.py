@@ -16,6 +16,9 @@ members for each pivot gives all its pairs of different components and is done;
 group of near copies is thus joined through its pivot in a number of candidates that grows with the group, not with
 its square; no pair of different components that meets in a short list is left untested.
 
+A list may hold a large share of all rows. Lists of more than 1/HOT of all members, of which there are at most HOT,
+are cut into slices by a hash of the node, so every join over lists deals a long one out to many tasks.
+
 Each set has a bit array in which every shingle flips one bit. Two arrays differ in no more bits than their sets do
 in elements, so pairs whose arrays differ in too many are dropped before any text is fetched.
 
@@ -51,6 +54,9 @@ FILTER_BITS = 23
 MORE = 8
 #: Members of a list, for each pivot, up to which all its pairs are taken.
 WHOLE = 4
+#: Lists are cut into slices of about 1/HOT of all members, but not of fewer than SLICE.
+HOT = 1000
+SLICE = 100
 #: Bits of the array that bounds what two sets share.
 FLIP_BITS = 512
 
@@ -112,10 +118,35 @@ def _sets(docs: DataFrame, lengths: np.ndarray, words: int, bits: int, percent:
     )
 
 
+def _slice() -> Column:
+    """The slice of its list that a node is in."""
+    return F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice")
+
+
+def _every_slice(lists: DataFrame) -> DataFrame:
+    """Each row once for every slice of its list."""
+    return lists.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+
+
+def _lists(postings: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(shingle, slices, node, at, n) of the lists of several rows, of equal sets only one.
+
+    Lists of one row lead nowhere; they are most of all lists.
+    """
+    counts = materialize(postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "counts")
+    width = max((counts.agg(F.sum("k")).first()[0] or 0) // HOT, SLICE)
+    cut = counts.select("shingle", F.ceil(F.col("k") / width).cast("int").alias("slices"))
+    # At most HOT lists are longer than a slice, as all members together are HOT slices.
+    hot = F.broadcast(cut.where("slices > 1"))
+    placed = postings.join(hot, "shingle", "left").withColumn("slices", F.coalesce("slices", F.lit(1))).withColumn("slice", _slice())
+    return placed.join(_every_slice(cut), ["shingle", "slices", "slice"]).drop("slice").join(nodes.select("node", "n"), "node")
+
+
 def _open(members: DataFrame) -> DataFrame:
     """The members of lists that hold several components, with the length k of their list."""
-    lists = members.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k"))
-    return members.join(lists.where("lo < hi").select("shingle", "k"), "shingle")
+    lists = members.groupBy("shingle", "slices").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k"))
+    several = _every_slice(lists.where("lo < hi").select("shingle", "slices", "k"))
+    return members.withColumn("slice", _slice()).join(several, ["shingle", "slices", "slice"]).drop("slice")
 
 
 def _candidates(open_: DataFrame, pivots: int, percent: int) -> DataFrame:
@@ -130,13 +161,13 @@ def _candidates(open_: DataFrame, pivots: int, percent: int) -> DataFrame:
     left, right = ([("node", x), ("n", f"n{x}"), ("at", f"t{x}"), ("label", f"l{x}")] for x in "ab")
     whole, long = open_.where(F.col("k") <= WHOLE * pivots), open_.where(F.col("k") > WHOLE * pivots)
     salt = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("salt")
-    first = long.groupBy("shingle", salt).agg(
+    first = long.groupBy("shingle", "slices", salt).agg(
         F.min("node").alias("a"), *(F.min_by(x, "node").alias(y) for x, y in left[1:])
     ).drop("salt")
-    one, other = (whole.select("shingle", *(F.col(x).alias(y) for x, y in side)) for side in (left, right))
-    met = one.join(other, "shingle").where("a < b").unionByName(
-        long.select("shingle", *(F.col(x).alias(y) for x, y in right)).join(first, "shingle")
-    )
+    place = ["shingle", "slices", "slice"]
+    one = _every_slice(whole.select("shingle", "slices", *(F.col(x).alias(y) for x, y in left)))
+    other, rest = (part.select("shingle", "slices", _slice(), *(F.col(x).alias(y) for x, y in right)) for part in (whole, long))
+    met = one.join(other, place).where("a < b").unionByName(rest.join(_every_slice(first), place))
     size = F.col("na") + F.col("nb")
     fits = (100 + percent) * F.least(F.col("na") - F.col("ta"), F.col("nb") - F.col("tb")) >= percent * size
     return met.where((F.col("la") != F.col("lb")) & fits).select(
@@ -229,9 +260,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         F.coalesce(F.min_by("row", "doc_id"), F.min("row")).alias("first"), F.min_by("tag", "row").alias("tag"),
     ), "nodes")
     postings = filled.select(F.col("row").alias("node"), F.posexplode("short").alias("at", "shingle"))
-    # Lists of one row lead nowhere; they are most of all lists. Those of equal sets alone hold one node.
-    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("shingle")
-    lists = materialize(postings.join(shared, "shingle", "left_semi").join(nodes.select("node", "n"), "node"), "lists")
+    lists = materialize(_lists(postings, nodes), "lists")
     members = lists.withColumn("label", F.col("node"))
     met = labels = found = tested = None
     pivots = 1
