@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,10 +137,46 @@ def test_streams_match_batch(spark, tmp_path):
     streams.append_to_table(anomalies, found, str(tmp_path / "c2")).awaitTermination()
     want = detect.detect_anomalies(metrics, base, 2.0)
     assert spark.read.parquet(found).count() == want.count() > 0
-    firsts = streams.first_incidents_stream(spark.readStream.schema(want.schema).parquet(found), "60 days")
-    streams.append_to_table(firsts, first, str(tmp_path / "c3")).awaitTermination()
-    keys = [(r.service_name, r.incident_type) for r in spark.read.parquet(first).collect()]
-    assert len(keys) == len(set(keys)) > 0
+
+
+def test_incidents_do_not_depend_on_arrival(spark, tmp_path):
+    """Runs of anomalies are the same in whatever order these come, and scored like the batch job's incidents."""
+    at = "2024-01-01 0{}:00:00"
+    rows = [(at.format(2), "a", "latency_p95", 5.5), (at.format(0), "a", "latency_p95", 3.2), (at.format(1), "a", "error_rate", -4.2),
+            (at.format(0), "b", "cpu_usage", 3.6), ("2024-01-01 20:00:00", "a", "latency_p95", 3.1), ("2024-01-09 00:00:00", "a", "cpu_usage", 9.0)]
+    want = [("2024-01-01 00:00:00", "a", "error_spike", "critical"), ("2024-01-01 00:00:00", "b", "resource_exhaustion", "medium"),
+            ("2024-01-01 20:00:00", "a", "latency_spike", "low")]
+    for name, arrival in [("forth", rows), ("back", [*rows[4::-1], rows[5]])]:
+        folder = str(tmp_path / name)
+        for row in arrival:
+            time.sleep(0.01)
+            spark.createDataFrame([row], "ts string, service_name string, metric_name string, zscore double").select(
+                F.col("ts").cast("timestamp").alias("timestamp"), "service_name", "metric_name", "zscore"
+            ).coalesce(1).write.mode("append").parquet(folder)
+        schema = spark.read.parquet(folder).schema
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(folder)
+        out = str(tmp_path / f"{name}-out")
+        streams.append_to_table(streams.first_incidents_stream(source, "12 hours"), out, f"{out}-state").awaitTermination()
+        got = [(str(r.timestamp), *r[1:4]) for r in spark.read.parquet(out).collect()]
+        assert sorted(got) == want, name
+
+
+def test_metrics_of_a_range_read_their_days_only(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    days = spark.range(10).select(F.timestamp_seconds(F.col("id") * 86400 + F.lit(86399)).alias("timestamp"), F.col("id").cast("double").alias("v"))
+    stamp = F.lit("2024-02-01").cast("timestamp")
+    for seq in (1, 2):
+        rows = days.select(
+            "timestamp", F.lit("s").alias("service_name"), F.lit("m").alias("metric_name"), (F.col("v") * seq).alias("metric_value"),
+            F.lit("t").alias("metric_type"), F.lit("logs").alias("source"), stamp.alias("created_at"),
+        )
+        tables.append_batch(rows, path, seq, METRIC)
+    start, end = (F.lit(x).cast("timestamp") for x in ("1970-01-03 23:59:59", "1970-01-05 00:00:00"))
+    some = tables.read_metrics(spark, path, start, end)
+    assert some.columns == METRIC.fieldNames()
+    assert sorted(r.metric_value for r in some.collect()) == [4.0, 6.0]
+    assert tables.read_metrics(spark, path).count() == 10
+    assert re.search(r"PartitionFilters: \[[^\]]*ds#\d+ >= 1970-01-03[^\]]*ds#\d+ <= 1970-01-05", plan_of(some))
 
 
 def plan_of(df):

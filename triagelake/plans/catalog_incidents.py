@@ -1,5 +1,8 @@
 """Queries of diagnosis, evaluation and reports."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.functions.scores import rounded
@@ -234,8 +237,10 @@ def service_latency(spark, sf):
     return found.withColumn("p95", rounded(F.col("p95"), 4))
 
 
-@query("service_latency_percentile_approx")
+@query("service_latency_percentile_approx", f"""WITH {q.LOGS} SELECT service_name, quantile_disc(latency_ms, 0.99) AS p99
+FROM logs WHERE {RECENT} AND latency_ms IS NOT NULL GROUP BY service_name""")
 def service_latency_approx(spark, sf):
+    """Up to some thousand values the sketch holds them all, so its answer is one of them."""
     logs, as_of = _logs(spark, sf)
     return reports.service_latency_percentile(logs, as_of, 99, 2 * 24 * 60)
 
@@ -361,9 +366,12 @@ def incident_detail(spark, sf):
     )
 
 
-@query("summary_report", f"""WITH {q.EVENT_INCIDENTS}, kpis AS ({KPIS}), open_ AS ({OPEN}), trend AS ({TREND})
+@query("summary_report", f"""WITH {q.EVENT_INCIDENTS.replace(q.EV, q.LOGS, 1)}, kpis AS ({KPIS}), open_ AS ({OPEN}), trend AS ({TREND})
 SELECT 'totals' AS part, 'total' AS item, CAST(total AS DOUBLE) AS value FROM kpis
+UNION ALL SELECT 'totals', name, CAST(n AS DOUBLE) FROM (UNPIVOT (
+  SELECT critical, high, medium, low, resolved FROM kpis) ON critical, high, medium, low, resolved INTO NAME name VALUE n)
 UNION ALL SELECT 'totals', 'avg_confidence', avg_confidence FROM kpis
+UNION ALL SELECT 'metric_sources', source, CAST(count(*) AS DOUBLE) FROM ({q.log_metrics('6 hours')}) GROUP BY source
 UNION ALL SELECT 'services', service_name || '/' || worst_severity, CAST(open_incidents AS DOUBLE) FROM open_
 UNION ALL SELECT 'trend', strftime("hour", '%Y-%m-%dT%H:%M:%S'), CAST("count" AS DOUBLE) FROM trend""")
 def summary(spark, sf):
@@ -376,8 +384,10 @@ def summary(spark, sf):
             F.lit(part).alias("part"), item.alias("item"), value.cast("double").alias("value")
         )
 
+    counts = ["total", "critical", "high", "medium", "low", "resolved"]
     return (
-        rows("totals", F.lit("total"), F.col("total"))
+        reduce(DataFrame.unionByName, [rows("totals", F.lit(name), F.col(name)) for name in counts])
+        .unionByName(rows("metric_sources", F.col("source"), F.col("n")))
         .unionByName(rows("totals", F.lit("avg_confidence"), rounded(F.col("avg_confidence"), 4)))
         .unionByName(rows("services", F.concat_ws("/", "service_name", "worst_severity"), F.col("open_incidents")))
         .unionByName(rows("trend", F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss"), F.col("count")))

@@ -51,13 +51,14 @@ def discover(spark, sf):
 
 @query("read_logs", f"""WITH {q.LINES}, c AS (
   SELECT event_id, service_name, ts_ms, {q.clean('(' + FILE_MESSAGE + ')')} AS clean FROM lines), p AS (
-  SELECT service_name, ts_ms, lower({q.part(1)}) AS level, {q.part(2)} AS correlation_id, {q.part(6)} AS log_text
+  SELECT service_name, ts_ms, lower({q.part(1)}) AS level, {q.part(2)} AS correlation_id, {q.part(3)} AS tenant_id,
+    {q.part(4)} AS req_id, {q.part(5)} AS timestamp, {q.part(6)} AS log_text
   FROM c WHERE regexp_matches(clean, '{q.LINE}'))
-SELECT service_name, level, correlation_id, {q.status_of('log_text')} AS status_code,
-  {q.latency_of('log_text')} AS latency_ms, log_text FROM p""")
+SELECT service_name, level, correlation_id, tenant_id, req_id, timestamp, ts_ms, {q.utc('timestamp')} AS timestamp_dt,
+  {q.status_of('log_text')} AS status_code, {q.latency_of('log_text')} AS latency_ms,
+  level IN ('error','fatal','critical','warn','warning') OR {q.keyword('log_text')} AS is_error, log_text FROM p""")
 def logs_from_files(spark, sf):
-    logs = read_logs(spark, _csv_folder(spark, sf), service_from="dir")
-    return logs.select("service_name", "level", "correlation_id", "status_code", "latency_ms", "log_text")
+    return read_logs(spark, _csv_folder(spark, sf), service_from="dir")
 
 
 @query("parse_stats", f"""WITH {q.PARSED} SELECT service_name, count(*) AS total_lines,
@@ -144,11 +145,12 @@ def stored_documents(spark, sf):
     )
 
 
-@query("dataset_stats")
+@query("dataset_stats", "SELECT count(*) AS doc_count, true AS has_bytes FROM events")
 def dataset_stats(spark, sf):
     from triagelake.operators.reports import dataset_stats as stats_of
 
-    return stats_of(views.table(spark, sf, "events"))
+    found = stats_of(views.table(spark, sf, "events"))
+    return found.select("doc_count", (F.col("size_bytes") > F.col("doc_count")).alias("has_bytes"))
 
 
 def _metric_batches(ev):
@@ -202,12 +204,15 @@ def replace_all(spark, sf):
     return tables.read_metrics(spark, path).drop("created_at")
 
 
-@query("write_metrics_csv", f"WITH {q.LOGS} SELECT service_name, metric_name, metric_value, source FROM ({q.log_metrics('6 hours')})")
+@query("write_metrics_csv", f"WITH {q.LOGS} SELECT timestamp, service_name, metric_name, metric_value, metric_type, source FROM ({q.log_metrics('6 hours')})")
 def metrics_csv(spark, sf):
     path = scratch_path(spark, "metrics-csv")
     tables.write_metrics_csv(views.log_metrics(views.events(spark, sf), "6 hours"), path)
     stored = spark.read.option("header", True).csv(path)
-    return stored.select("service_name", "metric_name", F.col("metric_value").cast("double").alias("metric_value"), "source")
+    return stored.select(
+        F.col("timestamp").cast("timestamp").alias("timestamp"), "service_name", "metric_name",
+        F.col("metric_value").cast("double").alias("metric_value"), "metric_type", "source",
+    )
 
 
 def _baseline_batches(spark, sf):

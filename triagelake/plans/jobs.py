@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from triagelake.functions.scores import finite
-from triagelake.functions.times import doc_timestamp
+from triagelake.functions.times import doc_timestamp, minutes
 from triagelake.operators import detect, evaluation
 from triagelake.operators.baselines import (
     error_rate_baseline,
@@ -19,7 +19,7 @@ from triagelake.operators.baselines import (
     latest_baseline,
     metric_baselines,
 )
-from triagelake.operators.diagnose import diagnose_incidents
+from triagelake.operators.diagnose import diagnose_incidents, pending_incidents
 from triagelake.operators.rollup import aggregate_to_metrics, bucket_profile, buckets_to_metrics, scroll_to_metrics
 from triagelake.operators.upserts import set_root_cause, union_sources
 from triagelake.schemas import BASELINE, INCIDENT, LOG, METRIC
@@ -202,9 +202,13 @@ def run_all(
         incidents = tables.dedup_keep_last(
             batches.where(F.col("ingest_seq") <= 2 * ingest_seq), ["id"], ["ingest_seq"]
         ).drop("ingest_seq")
+        # Only the days around the open incidents are read.
+        first, last = pending_incidents(incidents).agg(
+            F.min("timestamp") - minutes(window_minutes), F.max("timestamp") + minutes(window_minutes)
+        ).first()
         causes = diagnose_incidents(
             incidents,
-            tables.read_metrics(spark, paths["metrics"]),
+            tables.read_metrics(spark, paths["metrics"], F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")),
             latest_baseline(tables.read_baselines(spark, paths["baselines"])),
             window_minutes, sigma,
         )

@@ -101,12 +101,12 @@ LOGS = EV + f""", logs AS (
   FROM ev)"""
 
 
-def log_metrics(bucket: str, logs: str = "logs", where: str = "TRUE", source: str = "logs") -> str:
+def log_metrics(bucket: str, logs: str = "logs", where: str = "TRUE", source: str = "logs", quantile: str = "quantile_cont") -> str:
     """Rows of (timestamp, service_name, metric_name, metric_value, metric_type, source)."""
     start = f"time_bucket(INTERVAL '{bucket}', timestamp_dt)"
     src = f"FROM {logs} WHERE timestamp_dt IS NOT NULL AND {where}"
     error = fixed("100.0 * sum(CASE WHEN is_error THEN 1 ELSE 0 END) / count(*)", 4)
-    p95 = fixed("quantile_cont(latency_ms, 0.95)", 2)
+    p95 = fixed(f"{quantile}(latency_ms, 0.95)", 2)
     http = fixed("100.0 * sum(CASE WHEN status_code >= 500 THEN 1 ELSE 0 END) / count(*)", 4)
     return f"""
   SELECT {start} AS timestamp, service_name, 'error_rate' AS metric_name, {error} AS metric_value,
@@ -150,10 +150,9 @@ def baselines(bucket: str, min_samples: int = 100, min_metric_samples: int = 10)
     AND sample_count >= {min_metric_samples})"""
 
 
-def anomalies(bucket: str, sigma: float = 3.0, n: int = 5000) -> str:
+def anomalies(bucket: str, sigma: float = 3.0) -> str:
     return baselines(bucket) + f""", readings AS (
-  SELECT * FROM metrics WHERE source = 'logs' OR NOT EXISTS (SELECT 1 FROM metrics WHERE source = 'logs')
-  QUALIFY row_number() OVER (PARTITION BY service_name ORDER BY timestamp DESC, metric_name) <= {n}),
+  SELECT * FROM metrics WHERE source = 'logs' OR NOT EXISTS (SELECT 1 FROM metrics WHERE source = 'logs')),
 anomalies AS (
   SELECT r.timestamp, r.service_name, r.metric_name, r.metric_value AS value, b.mean AS baseline_mean,
     CASE WHEN b.stddev = 0 THEN 0 ELSE (r.metric_value - b.mean) / b.stddev END AS zscore, r.source

@@ -1,7 +1,8 @@
 """Fact tables on plain parquet: append-only batches with a current view.
 
 A batch is a folder `ingest_seq=<n>` of its table, so writing it again after a failure replaces
-only itself and never a folder that the same plan reads.
+only itself and never a folder that the same plan reads. Batches of metrics are cut by day (UTC)
+below that, so a range of times reads its days only.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +27,15 @@ from triagelake.schemas import (
 )
 
 
+def _day(ts: Column) -> Column:
+    """The UTC day of a time, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches of a table with their `ingest_seq`; a table not written yet is empty."""
-    full = T.StructType([*schema.fields, T.StructField("ingest_seq", T.LongType())])
+    """All batches of a table with their `ingest_seq` (metrics: and `ds`); a table not written yet is empty."""
+    days = [T.StructField("ds", T.DateType())] if schema == METRIC else []
+    full = T.StructType([*schema.fields, T.StructField("ingest_seq", T.LongType()), *days])
     try:
         return spark.read.schema(full).parquet(path)
     except AnalysisException as error:
@@ -40,12 +47,29 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 def append_batch(df: DataFrame, path: str, ingest_seq: int, schema: T.StructType) -> None:
     """Write one batch; the same number again replaces that batch."""
     aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-    aligned.write.mode("overwrite").parquet(f"{path}/ingest_seq={ingest_seq}")
+    if schema == METRIC:
+        _by_day(aligned, []).parquet(f"{path}/ingest_seq={ingest_seq}")
+    else:
+        aligned.write.mode("overwrite").parquet(f"{path}/ingest_seq={ingest_seq}")
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Current metrics."""
-    return upsert_metrics(read_batches(spark, path, METRIC), ["ingest_seq", "created_at"]).drop("ingest_seq")
+def _by_day(metrics: DataFrame, above: list[str]) -> DataFrameWriter:
+    """A writer that replaces all there is, by day; a day's rows come together, a large day's in several files."""
+    dated = metrics.withColumn("ds", _day(F.col("timestamp"))).hint("rebalance", "ds")
+    return dated.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*above, "ds")
+
+
+def read_metrics(spark: SparkSession, path: str, start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """Current metrics, all or those from `start` to `end` (both included), of which only the days are read.
+
+    Versions of a reading share its time, so the range is cut before the latest of them is taken.
+    """
+    batches, ts = read_batches(spark, path, METRIC), F.col("timestamp")
+    if start is not None:
+        batches = batches.where((F.col("ds") >= _day(start)) & (ts >= start))
+    if end is not None:
+        batches = batches.where((F.col("ds") <= _day(end)) & (ts <= end))
+    return upsert_metrics(batches, ["ingest_seq", "created_at"]).drop("ingest_seq", "ds")
 
 
 def read_baselines(spark: SparkSession, path: str) -> DataFrame:
@@ -65,10 +89,7 @@ def read_incidents(spark: SparkSession, path: str) -> DataFrame:
 def replace_all_metrics(metrics: DataFrame, path: str) -> None:
     """Drop every batch and store `metrics` as the only one."""
     aligned = metrics.select(*[F.col(f.name).cast(f.dataType) for f in METRIC])
-    (
-        aligned.withColumn("ingest_seq", F.lit(0))
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ingest_seq").parquet(path)
-    )
+    _by_day(aligned.withColumn("ingest_seq", F.lit(0)), ["ingest_seq"]).parquet(path)
 
 
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:

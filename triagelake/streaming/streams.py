@@ -1,7 +1,7 @@
 """Incremental roll-up, detection and incident creation.
 
 State is bounded by the watermark: a bucket is emitted and dropped once the watermark has passed
-its end, a seen incident key once its time has.
+its end, and so is a run of anomalies.
 """
 
 from __future__ import annotations
@@ -72,16 +72,20 @@ def detect_stream(metrics: DataFrame, baselines: DataFrame, sigma: float = 3.0)
 
 
 def first_incidents_stream(anomalies: DataFrame, quiet: str = "1 hour") -> DataFrame:
-    """The first anomaly per service and incident type; repeats within the quiet time are dropped."""
-    typed = anomalies.withColumn("incident_type", classify_incident_type(F.array("metric_name")))
-    return (
-        typed.withWatermark("timestamp", quiet)
-        .dropDuplicatesWithinWatermark(["service_name", "incident_type"])
-        .select(
-            "timestamp", "service_name", "incident_type",
-            incident_severity(F.abs("zscore")).alias("severity"),
-            confidence(F.abs("zscore")).alias("confidence_score"),
-        )
+    """One incident per service and run of anomalies, as the batch job makes them; a run ends with the quiet time.
+
+    Its time is that of the earliest anomaly, its class and scores come from all of them, so the order of arrival
+    does not matter. It is emitted once the watermark, `quiet` behind the newest time, has passed the run's end.
+    """
+    runs = (
+        anomalies.withWatermark("timestamp", quiet)
+        .groupBy("service_name", F.session_window("timestamp", quiet).alias("run"))
+        .agg(F.max(F.abs("zscore")).alias("max_z"), F.collect_set("metric_name").alias("metrics"))
+    )
+    return runs.select(
+        F.col("run.start").alias("timestamp"), "service_name",
+        classify_incident_type(F.col("metrics")).alias("incident_type"),
+        incident_severity(F.col("max_z")).alias("severity"), confidence(F.col("max_z")).alias("confidence_score"),
     )
 
 
