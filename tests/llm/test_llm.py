@@ -352,6 +352,19 @@ def test_lm_scores_against_counts(spark, odd):
     assert lm_scores.gather(docs.limit(0))["words"].sum() == 0
 
 
+def test_lm_counts_keep_every_word_and_pair_apart(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(3000)), i % 2 == 0) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, target boolean").repartition(4)
+    counts = lm_scores.gather(docs)
+    assert counts["distinct"] == 300_000 and counts["words"].tolist() == [300_000, 150_000]
+    got = {r.doc_id: r for r in lm_scores.score_documents(docs, counts).collect()}
+    share, none = 1.5 / (300_000 + 0.5 * 300_001), 0.5 / (150_000 + 0.5 * 300_001)
+    for i, row in got.items():
+        assert row.n_words == 3000 and row.background_loss == pytest.approx(-np.log2((1 + 8 * share) / 9), rel=1e-9)
+        if i % 2:
+            assert row.target_loss == pytest.approx(-np.log2(none), rel=1e-9)
+
+
 def test_mix_of_odd_rows(spark, odd):
     sized = mixing.sized_documents(odd)
     plan = mixing.plan_mix(sized.select("source", "size", "hash"))

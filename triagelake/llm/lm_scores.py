@@ -1,117 +1,210 @@
 """LM scoring by cross-entropy difference of two matched bigram models.
 
-Target and background model have the same order, smoothing and vocabulary: words fall into 2^18 classes by
-hash and pairs of words into 2^22 by a hash of both, so every word of every document counts, and the models keep
-their size whatever the corpus. Counts are gathered from all documents in one pass: each task sums its own and
-sends compressed chunks, which are added up. P(w | v) = (c(v, w) + m P(w)) / (c(v) + m), where P(w) is the smoothed
-share of w; v of the first word is the start class. A document's losses are its mean negative log2 probabilities
-per word, score = background loss - target loss: above 0 means nearer to the target.
+Target and background model have the same order, smoothing and vocabulary: every word and every pair of words of the
+corpus has counts of its own (words by their 64-bit hash, pairs by a 64-bit hash of both), so the models grow with the
+corpus. P(w | v) = (c(v, w) + m P(w)) / (c(v) + m), where P(w) is the share of w, smoothed over a vocabulary of 2^18
+words or as many as there are, if more; v of the first word is the start. A document's losses are its mean negative
+log2 probabilities per word, score = background loss - target loss: above 0 means nearer to the target.
+
+Tasks cut their documents into chunks and send each distinct word and pair of a chunk once, with its counts, to slots of
+the hash range, where they are summed and stored. For scores, chunks ask the slots in the same way and get back the
+counts of just their own words and pairs. A word or pair has one entry for each chunk, however common it is, so no slot
+holds much more than others; slots grow in number with the text. Only totals reach the driver.
 
 Edge cases: null texts count as empty; a text without words has n_words 0, losses and score 0. Null target marks
 count as not in the target. An empty corpus gives uniform models. Repeated rows count each time. Other columns of
-the input are not carried.
+the input are not carried. A text longer than a chunk is a chunk of its own.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triagelake.llm.common import FACTORS, column_of, count_parts, merged_counts, mixed, table, utf8, word_hashes
+from triagelake.llm.common import EMPTY, FACTORS, column_of, mixed, table, utf8, word_hashes
+from triagelake.session import materialize
 
-WORD_BITS, PAIR_BITS = 18, 22
-#: The class before the first word, and the weight of the unigram share in each pair.
+#: The least vocabulary that smoothing assumes has 2^WORD_BITS words.
+WORD_BITS = 18
+#: What stands before the first word, the weight of the unigram share in each pair, and what is added to each word's count.
 START, STRENGTH, ADDED = np.uint64(0), 8.0, 0.5
-NAMES = ["words", "pairs", "target_words", "target_pairs"]
+#: Words of a chunk, bytes of text for each slot, and bits of the least number of slots of each kind (words, pairs).
+CHUNK_WORDS, SLOT_BYTES, LEAST_BITS = 1 << 21, 1 << 24, 6
+OUT_SCHEMA = "doc_id long, n_words long, background_loss double, target_loss double, score double"
+
+
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    return zlib.compress(values.astype(kind).tobytes(), 1)
+
+
+def _unpacked(parts: list[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(map(zlib.decompress, parts)), dtype=kind)
 
 
-def _classes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word: its class, the class before it, and the class of the pair."""
-    hashes = word_hashes(raw)
-    word = hashes >> np.uint64(64 - WORD_BITS)
-    before = np.concatenate(([START], hashes[:-1])) if len(hashes) else hashes
+def _keys(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Values of a column and word hashes of documents, as many as make a chunk."""
+    values, words, size = [], [], 0
+    for batch in batches:
+        for value, raw in zip(column_of(batch, name).to_pylist(), utf8(column_of(batch, "text")), strict=True):
+            values.append(value)
+            words.append(word_hashes(raw))
+            size += len(words[-1]) + 1
+            if size >= CHUNK_WORDS:
+                yield values, words
+                values, words, size = [], [], 0
+    if values:
+        yield values, words
+
+
+def _joined(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The documents' lengths, and for each word: its hash, the hash before it, and the hash of the pair."""
+    lengths = np.array([len(x) for x in words], dtype=np.int64)
+    word = np.concatenate(words) if words else EMPTY
+    before = np.concatenate(([START], word[:-1])) if len(word) else word
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = START
     with np.errstate(over="ignore"):
-        pair = mixed(before * FACTORS[0] + hashes) >> np.uint64(64 - PAIR_BITS)
-    return word.astype(np.int64), (before >> np.uint64(64 - WORD_BITS)).astype(np.int64), pair.astype(np.int64)
-
-
-def _add(held: np.ndarray, at: list[np.ndarray]) -> None:
-    """Count classes into an array; sorted first, as few of them repeat within a batch."""
-    values, counts = np.unique(np.concatenate(at), return_counts=True)
-    held[values] += counts.astype(held.dtype)
-
-
-def _count(batch: pa.RecordBatch, held: dict[str, np.ndarray]) -> None:
-    marks = column_of(batch, "target").to_pylist()
-    parts: dict[str, list[np.ndarray]] = {name: [] for name in NAMES}
-    for raw, mark in zip(utf8(column_of(batch, "text")), marks, strict=True):
-        word, _, pair = _classes(raw)
-        if not len(word):
-            continue
-        parts["words"].append(word)
-        parts["pairs"].append(pair)
-        if mark:
-            parts["target_words"].append(word)
-            parts["target_pairs"].append(pair)
-    for name, at in parts.items():
-        if at:
-            _add(held[name], at)
-
-
-def gather(docs: DataFrame, target: str = "target", text: str = "text") -> dict[str, np.ndarray]:
-    """Counts of words and pairs of all documents, and of those marked as target."""
-    rows = docs.select(F.coalesce(F.col(target).cast("boolean"), F.lit(False)).alias("target"), F.col(text).alias("text"))
-    return merged_counts(count_parts(rows, NAMES, 1 << PAIR_BITS, _count), 1 << PAIR_BITS, NAMES)
-
-
-class Models:
-    """Both models as arrays of fixed size, 48 MB together."""
-
-    def __init__(self, counts: dict[str, np.ndarray]):
-        self.words = [counts[name][:1 << WORD_BITS].astype(np.float32) for name in ("words", "target_words")]
-        self.pairs = [counts[name].astype(np.float32) for name in ("pairs", "target_pairs")]
-        self.shares = [((w + ADDED) / (w.sum(dtype=np.float64) + ADDED * len(w))).astype(np.float32) for w in self.words]
-
-    def losses(self, raw: np.ndarray) -> tuple[int, float, float]:
-        """Words of a text and its mean losses in bits: background, target."""
-        word, before, pair = _classes(raw)
-        if not len(word):
-            return 0, 0.0, 0.0
-        found = []
-        for words, pairs, shares in zip(self.words, self.pairs, self.shares, strict=True):
-            seen = np.maximum(words[before], pairs[pair])  # the start class is counted by its pairs only
-            p = (pairs[pair] + STRENGTH * shares[word]) / (seen + STRENGTH)
-            found.append(float(-np.log2(p).mean(dtype=np.float64)))
-        return len(word), found[0], found[1]
-
-
-def score_documents(docs: DataFrame, counts: dict[str, np.ndarray], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_words, background_loss, target_loss, score) of each row. The models' size is fixed, so they are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(Models(counts))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        for batch in batches:
-            got = [models.losses(raw) for raw in utf8(column_of(batch, "text"))]
-            n, background, target = (np.array(x) for x in zip(*got, strict=True)) if got else (np.empty(0),) * 3
+        return lengths, word, before, mixed(before * FACTORS[0] + word)
+
+
+def _slots(words: np.ndarray, pairs: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(slot, from, to, keys) for sorted words, and then for sorted pairs in the slots above those of words."""
+    for kind, keys in enumerate((words, pairs)):
+        edges = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
+        for k in range(1 << bits):
+            if edges[k] < edges[k + 1]:
+                yield (kind << bits) + k, edges[k], edges[k + 1], keys[edges[k]:edges[k + 1]]
+
+
+def gather(docs: DataFrame, target: str = "target", text: str = "text", size: int | None = None) -> dict[str, object]:
+    """The models: `rows`, a stored table of slots with counts of words and pairs in all documents and in those marked as
+    target; `bits` of a slot number; `words`, all and in the target; `distinct` words. `size`: bytes of text, if known."""
+    if size is None:
+        size = docs.agg(F.sum(F.octet_length(text))).first()[0]
+    bits = max(LEAST_BITS, ((size or 0) // SLOT_BYTES).bit_length())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for marks, words in _chunks(batches, "target"):
+            lengths, word, _, pair = _joined(words)
+            marked = np.repeat(np.array(marks, dtype=bool), lengths)
+            found = [np.unique(x, return_inverse=True) for x in (word, pair)]
+            every = [np.bincount(at, minlength=len(keys)) for keys, at in found]
+            good = [np.bincount(at[marked], minlength=len(keys)) for keys, at in found]
+            rows = [
+                (slot, keys.tobytes(), _packed(every[slot >> bits][a:b], "<i8"), _packed(good[slot >> bits][a:b], "<i8"))
+                for slot, a, b, keys in _slots(found[0][0], found[1][0], bits)
+            ]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)],
+                    names=["slot", "keys", "n", "t"],
+                )
+
+    def add(rows: pa.Table) -> pa.Table:
+        keys = _keys(rows["keys"])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        n, t = (np.add.reduceat(_unpacked(rows[x].to_pylist(), "<i8")[order], first) for x in ("n", "t"))
+        return pa.table({
+            "slot": pa.array([rows["slot"][0].as_py()], pa.int32()), "keys": pa.array([keys[first].tobytes()], pa.binary()),
+            "n": pa.array([_packed(n, "<i8")], pa.binary()), "t": pa.array([_packed(t, "<i8")], pa.binary()),
+            "distinct": pa.array([len(first)], pa.int64()), "every": pa.array([int(n.sum())], pa.int64()),
+            "good": pa.array([int(t.sum())], pa.int64()),
+        })
+
+    marked = docs.select(F.coalesce(F.col(target).cast("boolean"), F.lit(False)).alias("target"), F.col(text).alias("text"))
+    rows = materialize(
+        marked.mapInArrow(count, "slot int, keys binary, n binary, t binary").groupBy("slot").applyInArrow(
+            add, "slot int, keys binary, n binary, t binary, distinct long, every long, good long"
+        ), "lm-counts",
+    )
+    distinct, every, good = rows.where(F.col("slot") < (1 << bits)).agg(
+        *(F.coalesce(F.sum(x), F.lit(0)) for x in ("distinct", "every", "good"))
+    ).first()
+    return {"rows": rows.select("slot", "keys", "n", "t"), "bits": bits, "words": np.array([every, good]), "distinct": distinct}
+
+
+def score_documents(docs: DataFrame, counts: dict[str, object], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_words, background_loss, target_loss, score) of each row."""
+    bits, totals = counts["bits"], [float(x) for x in counts["words"]]
+    vocabulary = max(1 << WORD_BITS, counts["distinct"] + 1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for k, (ids, words) in enumerate(_chunks(batches, "doc_id")):
+            lengths, word, before, pair = _joined(words)
+            single = np.unique(word)
+            double, at, each = np.unique(pair, return_index=True, return_inverse=True)
+            rows = [(slot, keys.tobytes()) for slot, _, _, keys in _slots(single, double, bits)]
+            place = np.where(before[at] == START, -1, np.searchsorted(single, before[at]))
+            sent = [_packed(x, "<i4") for x in (lengths, each, place, np.searchsorted(single, word[at]))]
+            n = len(rows) + 1
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "doc_id"), pa.array(n.astype(np.int64)), pa.array(background.astype(float)),
-                 pa.array(target.astype(float)), pa.array((background - target).astype(float))],
-                names=["doc_id", "n_words", "background_loss", "target_loss", "score"],
+                [pa.array([(part << 32) + k] * n, pa.int64()), pa.array([-1, *(r[0] for r in rows)], pa.int32()),
+                 pa.array([None, *(r[1] for r in rows)], pa.binary()), pa.array([ids, *[None] * (n - 1)], pa.list_(pa.int64())),
+                 *(pa.array([x, *[None] * (n - 1)], pa.binary()) for x in sent)],
+                names=["chunk", "slot", "keys", "ids", "lengths", "each", "before", "word"],
             )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, n_words long, background_loss double, target_loss double, score double"
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        keys = _keys(known["keys"])
+        n, t = (np.append(_unpacked(known[x].to_pylist(), "<i8"), 0) for x in ("n", "t"))
+        got: list[list[bytes]] = [[], []]
+        for raw in asked["keys"].to_pylist():
+            wanted = np.frombuffer(raw, dtype="<u8")
+            at = np.searchsorted(keys, wanted)
+            at[np.append(keys, START)[at] != wanted] = len(keys)
+            at[at == len(keys)] = len(n) - 1
+            got[0].append(_packed(n[at], "<i8"))
+            got[1].append(_packed(t[at], "<i8"))
+        return pa.table({"chunk": asked["chunk"], "slot": asked["slot"], "n": pa.array(got[0], pa.binary()), "t": pa.array(got[1], pa.binary())})
+
+    def score(asked: pa.Table, answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by("slot")
+        lengths, each, before, word = (_unpacked(asked[x].to_pylist(), "<i4") for x in ("lengths", "each", "before", "word"))
+        doc = np.repeat(np.arange(len(lengths)), lengths)
+        losses = []
+        for name, total in zip(("n", "t"), totals, strict=True):
+            got = _unpacked(answers[name].to_pylist(), "<i8").astype(float)
+            # Words first, then pairs, each in the order of their hashes; before the first word stands nothing, counted 0 times.
+            single, double = np.append(got[:len(got) - len(word)], 0.0), got[len(got) - len(word):]
+            share = (single[word] + ADDED) / (total + ADDED * vocabulary)
+            # The start is counted by its pairs only.
+            bits_of = -np.log2((double + STRENGTH * share) / (np.maximum(single[before], double) + STRENGTH))
+            losses.append(np.bincount(doc, bits_of[each], minlength=len(lengths)) / np.maximum(lengths, 1))
+        background, target = losses
+        return pa.table({
+            "doc_id": pa.array(asked["ids"][0].as_py(), pa.int64()),
+            "n_words": pa.array(lengths.astype(np.int64)), "background_loss": pa.array(background), "target_loss": pa.array(target),
+            "score": pa.array(background - target),
+        })
+
+    names = ["lengths", "each", "before", "word"]
+    # Stored: which documents make a chunk may differ when they are read again.
+    asked = materialize(
+        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+            ask, "chunk long, slot int, keys binary, ids array<long>, " + ", ".join(f"{x} binary" for x in names)
+        ), "lm-chunks",
     )
+    requests = asked.where("slot >= 0").select("chunk", "slot", "keys").groupBy("slot")
+    answers = requests.cogroup(counts["rows"].groupBy("slot")).applyInArrow(answer, "chunk long, slot int, n binary, t binary")
+    return asked.where("slot < 0").select("chunk", "ids", *names).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, OUT_SCHEMA)
 
 
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document by how much better the model of documents labelled good predicts it than that of all."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
     # Labels grow with the corpus, so they are never broadcast: a plan of one kind at every size.
-    return score_documents(docs, gather(docs.join(good.hint("merge"), "doc_id", "left")))
+    return score_documents(docs, gather(docs.join(good.hint("merge"), "doc_id", "left"), size=size))
