@@ -185,6 +185,13 @@ def test_encoder_equals_the_tokenizer(texts):
     assert [crc([*np.frombuffer(x, dtype="<u4"), 2]) for x in tokens.encoder(path).encode(some)] == [crc(ids(x)) for x in some]
 
 
+def test_encoder_keeps_marks_that_lower_case_adds():
+    path = tokens.default_path()
+    ids = reference_ids(path)
+    some = ["visit İzmir now", "İ", "İİ x", "a İ\nb", "KELVIN \u212a, İSTANBUL!"]
+    assert [[*np.frombuffer(x, dtype="<u4"), 2] for x in tokens.encoder(path).encode(some)] == [ids(x) for x in some]
+
+
 def test_token_files_round_trip(spark, odd):
     ids, path = reference_ids(tokens.default_path()), tokens.default_path()
     folder = scratch_path(spark, "test-tokens")

@@ -91,9 +91,10 @@ class Encoder:
 
 
 def _parts(text: str) -> list[str]:
-    parts = _PARTS.findall(text.lower())
+    lower = text.lower()  # may be longer than the text: İ becomes an i and a mark that combines
+    parts = _PARTS.findall(lower)
     gaps = text.count(" ") + text.count("\n") + text.count("\t") + text.count("\r")
-    if sum(map(len, parts)) + gaps == len(text) and "<|" not in text:
+    if sum(map(len, parts)) + gaps == len(lower) and "<|" not in text:
         return parts
     return list(chain.from_iterable(
         _GAP.split(line) if _OTHER.search(line) else _PARTS.findall(line.lower()) for line in text.split("\n")
