@@ -167,6 +167,15 @@ def test_page_cases(source, want):
     assert html_text.main_text(source) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<script>var o=\"<!--\";</script><article><p>Text</p></article>", "Text"),
+    ("<style>a{content:'<!--'}</style><article><p title='<!--'>Text</p></article>", "Text"),
+    ("<article><p>Text <!-- a --> more</p><!-- b <p>c</p></article>", "Text more"),
+])
+def test_page_comments(source, want):
+    assert html_text.main_text(source) == want
+
+
 def reference_ids(path):
     from tokenizers import Tokenizer
 

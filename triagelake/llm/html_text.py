@@ -127,6 +127,11 @@ class _Tree(HTMLParser):
         self.open.append((tag, child))
         self.block = child
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        """A comment without an end hides the rest; the parser asks only where one can begin."""
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 else end
+
     def _close_paragraph(self, tag: str) -> None:
         self._close({"p"}, {"table", "td", "th", "li", "div", "section", "article", "blockquote", "main"})
 
@@ -229,9 +234,6 @@ def main_text(html: str | None) -> str:
     """The article's text: white space within and between blocks as one space."""
     if not html:
         return ""
-    comment = html.rfind("<!--")
-    if comment >= 0 and html.find("-->", comment) < 0:
-        html = html[:comment]
     tree = _Tree()
     tree.feed(_CUT_TAG.sub("", html))
     tree.close()
