@@ -176,6 +176,18 @@ def test_page_comments(source, want):
     assert html_text.main_text(source) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<article><p class='share'>Share<p>One.</p><p>Two.</p></article>", "One. Two."),
+    ("<article><ul><li class=ad>Buy<li>One<li>Two</ul><p>Three</article>", "One Two Three"),
+    ("<table><tr><td class=ad>Buy<td>One<tr class=promo><td>No<tr><td>Two</table>", "One Two"),
+    ("<dl><dt class=ad>Buy<dd>One<dt>Two</dl>", "One Two"),
+    ("<article><div><nav><a href=x>Menu</div><p>One</p></article>", "One"),
+    ("<div><nav><p>a<p>b<ul><li>c<li>d</ul></nav><p>One</div>", "One"),
+])
+def test_page_skipping_ends(source, want):
+    assert html_text.main_text(source) == want
+
+
 def reference_ids(path):
     from tokenizers import Tokenizer
 

@@ -87,44 +87,49 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.block = Block("body", None)
         self.blocks = [self.root]
-        self.open: list[tuple[str, Block | None]] = []
-        self.skip: list[str] = []
+        #: Open elements, outermost first: tag, block (none if inline or skipped), and whether it is skipped.
+        self.open: list[tuple[str, Block | None, bool]] = []
+        #: Place of the outermost skipped element among them, if any.
+        self.skip: int | None = None
         self.in_link = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if self.skip:
-            if tag not in VOID and tag == self.skip[0]:
-                self.skip.append(tag)
-            elif self.skip[0] == "head" and tag in ("body", "article", "main", "p", "div"):
-                self.skip = []
-                self.handle_starttag(tag, attrs)
-            return
+        if self.skip is not None and self.open[self.skip][0] == "head" and tag in ("body", "article", "main", "p", "div"):
+            self._pop_to(self.skip)
         if tag in VOID:
-            if tag in ("br", "hr"):
+            if tag in ("br", "hr") and self.skip is None:
                 self.block.items.append(" ")
             return
+        if self.skip is not None and tag in INLINE:
+            self.open.append((tag, None, True))
+            return
+        if self.skip is not None and tag not in ("html", "body"):
+            # What the element closes may be skipped, which then ends.
+            self._imply(tag)
+        if self.skip is not None:
+            self.open.append((tag, None, True))
+            return
         names = {w for key, value in attrs if value and key in ("class", "id", "role") for w in _WORDS.findall(value.lower())}
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         unwanted = names & UNWANTED and tag not in ("html", "body", "main")
         if tag in SKIPPED or hidden or unwanted:
-            if tag == "p" or tag not in INLINE:
-                self._close_paragraph(tag)
+            if tag not in INLINE:
+                self._imply(tag)
             self.block.items.append(" ")
-            self.skip = [tag]
+            self.skip = len(self.open)
+            self.open.append((tag, None, True))
             return
         if tag in ("html", "body"):
             return
         if tag in INLINE:
-            self.open.append((tag, None))
+            self.open.append((tag, None, False))
             self.in_link += tag == "a"
             return
-        if tag in CLOSES:
-            self._close(*CLOSES[tag])
-        self._close_paragraph(tag)
+        self._imply(tag)
         child = Block(tag, self.block, names)
         self.block.items.append(child)
         self.blocks.append(child)
-        self.open.append((tag, child))
+        self.open.append((tag, child, False))
         self.block = child
 
     def parse_comment(self, i: int, report: bool = True) -> int:
@@ -132,41 +137,44 @@ class _Tree(HTMLParser):
         end = super().parse_comment(i, report)
         return len(self.rawdata) if end < 0 else end
 
-    def _close_paragraph(self, tag: str) -> None:
+    def _imply(self, tag: str) -> None:
+        """Close what an opening element that is not inline ends."""
+        if tag in CLOSES:
+            self._close(*CLOSES[tag])
         self._close({"p"}, {"table", "td", "th", "li", "div", "section", "article", "blockquote", "main"})
 
     def _close(self, tags: set[str], stops: set[str]) -> None:
+        found = None
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] in tags:
-                self._pop_to(at)
-                return
-            if self.open[at][0] in stops:
-                return
+                found = at  # a row's opening ends the cell and the row around it
+            elif self.open[at][0] in stops:
+                break
+        if found is not None:
+            self._pop_to(found)
 
     def _pop_to(self, at: int) -> None:
-        outermost = next((block for _, block in self.open[at:] if block is not None), None)
+        outermost = next((block for _, block, _ in self.open[at:] if block is not None), None)
         if outermost is not None:
             self.block = outermost.parent or self.root
-        self.in_link -= sum(tag == "a" for tag, _ in self.open[at:])
+        self.in_link -= sum(tag == "a" and not skipped for tag, _, skipped in self.open[at:])
         del self.open[at:]
+        if self.skip is not None and at <= self.skip:
+            self.skip = None
 
     def handle_endtag(self, tag: str) -> None:
-        if self.skip:
-            if tag == self.skip[0]:
-                self.skip.pop()
-            return
-        if tag == "br":
+        if tag == "br" and self.skip is None:
             self.block.items.append(" ")
         inline = tag in INLINE
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
                 self._pop_to(at)
                 return
-            if inline and self.open[at][1] is not None:
+            if inline and self.open[at][0] not in INLINE:
                 return
 
     def handle_data(self, data: str) -> None:
-        if self.skip:
+        if self.skip is not None:
             return
         self.block.items.append(data)
         if self.in_link:
