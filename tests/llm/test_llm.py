@@ -188,6 +188,27 @@ def test_page_skipping_ends(source, want):
     assert html_text.main_text(source) == want
 
 
+TEXT, MORE = ("good text, " * 20).strip(), ("more said here, " * 12).strip()
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<div class='site-content has-sidebar'><p>{TEXT}</p></div>", TEXT),
+    (f"<div class=has-sidebar><article><p>{TEXT}</p></article><div class=sidebar><p>{MORE}</p></div></div>", TEXT),
+    (f"<article class='post comments-open'><p>{TEXT}</p><div class=comments><p>{MORE * 9}</p></div></article>", TEXT),
+    (f"<body><form id=aspnetForm><input><div><p>{TEXT}</p></div></form>", TEXT),
+    (f"<form><article><p>{TEXT}</p><form class=search>Find it here</form></article></form>", TEXT),
+    (f"<article><p>{TEXT}</p><section id=search><h2>Search</h2><p>{MORE}</p></section></article>", f"{TEXT} Search {MORE}"),
+    (f"<article><p>{TEXT}</p><section id=related-work><h2>Related</h2><p>{MORE}</p></section></article>", f"{TEXT} Related {MORE}"),
+    (f"<article><h2 id=advertising>Adverts</h2><p>{TEXT}</p></article>", f"Adverts {TEXT}"),
+    (f"<article><p>{TEXT}</p><pre>x = 1 <span class=hljs-comment># one</span></pre></article>", f"{TEXT} x = 1 # one"),
+    (f"<article><p>{TEXT}</p><div class=related><h2>See</h2><a href=x>{MORE}</a></div><p class=share>Share</p></article>", TEXT),
+    (f"<article><p>{TEXT}</p><form><p>{MORE}</p></form><ol class=comments><li><article class=comment><p>{MORE}</article></ol></article>", TEXT),
+    (f"<div><p>{TEXT}</p></div><div aria-hidden=true><p>{MORE}</p></div><p hidden>{MORE}</p>", TEXT),
+])
+def test_page_doubtful_parts(source, want):
+    assert html_text.main_text(source) == want
+
+
 def reference_ids(path):
     from tokenizers import Tokenizer
 

@@ -1,7 +1,10 @@
 """Main text of web pages by tree scoring.
 
-A page is read into a tree of blocks. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
-scripts and styles are not read at all, known by their element, role, or a whole word of their class or id.
+A page is read into a tree of blocks. Menus, headers, footers, asides, scripts and styles are not read at all, known by
+their element. Blocks that a whole word of their class, id or role marks as a menu, notice, advert, comments and the
+like, forms and hidden blocks are doubtful: read, and dropped unless they hold the page's article or nearly all of its
+points, or are a section of the article that is found by its id. Article, inline elements and headings are not in doubt
+for their names.
 Each block with text of its own is a paragraph that gives points for its length and commas to the blocks
 around it: all to its parent, half to the next, then a third of that and less, each times the share of
 its text outside links. The best container is kept with those siblings that score well enough or read like
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 from triagelake.llm.common import OUT_ROWS, column_of, table
 
 SKIPPED = frozenset(
-    "script style noscript template head title nav header footer aside form button select textarea iframe object svg"
-    " canvas audio video menu dialog fieldset".split()
+    "script style noscript template head title nav header footer aside button select textarea iframe object svg"
+    " canvas audio video menu dialog".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -42,6 +45,10 @@ UNWANTED = frozenset(
     " modal overlay newsletter subscribe signup login share sharing social related recommended comment comments"
     " disqus respond replies pagination pager contentinfo complementary search toolbar".split()
 )
+#: Those of them that mark what readers said: kept only if the page has nothing else.
+SAID = frozenset("comment comments disqus respond replies".split())
+FORMS = frozenset("form fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WANTED = frozenset("article main content body entry post story text".split())
 #: What an opening element closes, and where the search for it stops.
 CLOSES = {
@@ -58,14 +65,16 @@ _CUT_TAG = re.compile(r"<[/a-zA-Z!][^<>]*\Z")
 class Block:
     """An element that is not inline: its own text runs and blocks, in order."""
 
-    __slots__ = ("tag", "parent", "items", "linked", "score", "names", "chars", "links")
+    __slots__ = ("tag", "parent", "items", "linked", "score", "names", "chars", "links", "doubt")
 
-    def __init__(self, tag: str, parent: Block | None, names: set[str] | frozenset = frozenset()):
+    def __init__(self, tag: str, parent: Block | None, names: set[str] | frozenset = frozenset(), doubt: str = ""):
         self.tag, self.parent, self.names = tag, parent, names
         self.items: list[str | Block] = []
         self.linked = 0
         self.score: float | None = None
         self.chars = self.links = 0
+        #: Why the block may not be the article: "hidden", "said", "id" (by its id alone), "name", or nothing.
+        self.doubt = doubt
 
     def text(self) -> str:
         """All text below, blocks apart."""
@@ -111,8 +120,7 @@ class _Tree(HTMLParser):
             return
         names = {w for key, value in attrs if value and key in ("class", "id", "role") for w in _WORDS.findall(value.lower())}
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
-        unwanted = names & UNWANTED and tag not in ("html", "body", "main")
-        if tag in SKIPPED or hidden or unwanted:
+        if tag in SKIPPED or hidden and tag in INLINE:
             if tag not in INLINE:
                 self._imply(tag)
             self.block.items.append(" ")
@@ -126,7 +134,7 @@ class _Tree(HTMLParser):
             self.in_link += tag == "a"
             return
         self._imply(tag)
-        child = Block(tag, self.block, names)
+        child = Block(tag, self.block, names, _doubt(tag, names, attrs, hidden, self.block))
         self.block.items.append(child)
         self.blocks.append(child)
         self.open.append((tag, child, False))
@@ -181,6 +189,96 @@ class _Tree(HTMLParser):
             self.block.linked += len(data)
 
 
+def _doubt(tag: str, names: set[str], attrs: list[tuple[str, str | None]], hidden: bool, parent: Block) -> str:
+    if hidden:
+        return "hidden"
+    if tag in FORMS:
+        return "name"
+    found = names & UNWANTED
+    if not found or tag in HEADINGS or tag == "main":
+        return ""
+    if tag == "article":
+        # Within an article or comments, an article is what a reader said.
+        while parent is not None and parent.tag != "article" and parent.doubt != "said":
+            parent = parent.parent
+        return "said" if parent is not None and found & SAID else ""
+    if found & SAID:
+        return "said"
+    other = {w for key, value in attrs if value and key in ("class", "role") for w in _WORDS.findall(value.lower())}
+    return "name" if other & UNWANTED else "id"
+
+
+def _points(block: Block) -> float:
+    """What a block's own text is worth."""
+    own = "".join(x for x in block.items if isinstance(x, str))
+    size = len(_SPACE.sub(" ", own).strip())
+    if size < 25:
+        return 0.0
+    plain = 1 - min(1.0, block.linked / max(1, len(own)))
+    return (1 + own.count(",") + own.count("，") + min(size / 100, 3)) * plain
+
+
+def _drop_doubtful(tree: _Tree) -> None:
+    """Take doubtful blocks out of the tree that are not the article or a part of it.
+
+    Points and characters of each block are those of all its text. From the outermost on, a block is compared with the
+    text of the page that is not in doubt: that which lies in no doubtful block but those already kept.
+    """
+    if not any(block.doubt for block in tree.blocks):
+        return
+    points = {id(b): _points(b) for b in tree.blocks}
+    chars = {id(b): sum(len(x.strip()) for x in b.items if isinstance(x, str)) for b in tree.blocks}
+    links = {id(b): b.linked for b in tree.blocks}
+    #: Points below a block that lie in no doubtful block below it.
+    sure = dict(points)
+    #: The most points of an article or main element below, or of the block if it is one.
+    held: dict[int, float] = {id(b): 0.0 for b in tree.blocks}
+    for block in reversed(tree.blocks):
+        if block.tag in ("article", "main") and not block.doubt:
+            held[id(block)] = max(held[id(block)], sure[id(block)])
+        if block.parent is None:
+            continue
+        for sums in (points, chars, links):
+            sums[id(block.parent)] += sums[id(block)]
+        if not block.doubt:
+            sure[id(block.parent)] += sure[id(block)]
+            held[id(block.parent)] = max(held[id(block.parent)], held[id(block)])
+    clear, best = sure[id(tree.root)], held[id(tree.root)]
+    dropped: set[int] = set()
+    inside: dict[int, bool] = {id(tree.root): False}
+    for block in tree.blocks:
+        if block.parent is None:
+            continue
+        above = block.parent
+        inside[id(block)] = inside[id(above)] or block.tag in ("article", "main") and not block.doubt
+        if id(above) in dropped:
+            dropped.add(id(block))
+            continue
+        if not block.doubt:
+            continue
+        # What is in further doubt below a block counts for it if nothing below is sure.
+        own = sure[id(block)] or points[id(block)]
+        few_links = links[id(block)] < 0.3 * max(1, chars[id(block)])
+        if block.doubt == "said" or block.doubt == "hidden":
+            kept = own > 0 and clear == 0
+        else:
+            kept = few_links and (held[id(block)] > 3 * best or own > 5 * clear)
+            if block.doubt == "id" and inside[id(above)] and few_links and chars[id(block)] >= 80:
+                # A section of the article, named by what it is about.
+                kept = kept or block.tag != "div" or any(isinstance(x, Block) and x.tag in HEADINGS for x in block.items)
+        if kept:
+            clear += sure[id(block)]
+            best = max(best, held[id(block)])
+        else:
+            dropped.add(id(block))
+    if not dropped:
+        return
+    for block in tree.blocks:
+        if id(block) not in dropped:
+            block.items = [" " if isinstance(x, Block) and id(x) in dropped else x for x in block.items]
+    tree.blocks = [b for b in tree.blocks if id(b) not in dropped]
+
+
 def _measure(tree: _Tree) -> None:
     """Points for paragraphs, handed to the blocks around them; characters and linked characters below each block."""
     for block in reversed(tree.blocks):
@@ -192,12 +290,9 @@ def _measure(tree: _Tree) -> None:
             block.parent.chars += block.chars
             block.parent.links += block.links
     for block in tree.blocks:
-        own = "".join(x for x in block.items if isinstance(x, str))
-        size = len(_SPACE.sub(" ", own).strip())
-        if size < 25:
+        points = _points(block)
+        if not points:
             continue
-        plain = 1 - min(1.0, block.linked / max(1, len(own)))
-        points = (1 + own.count(",") + own.count("，") + min(size / 100, 3)) * plain
         above, level = block if block.parent is None else block.parent, 0
         while above is not None:
             if above.score is None:
@@ -245,6 +340,7 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(_CUT_TAG.sub("", html))
     tree.close()
+    _drop_doubtful(tree)
     _measure(tree)
     return _SPACE.sub(" ", " ".join(b.text() for b in _kept(tree))).strip()
 
