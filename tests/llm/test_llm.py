@@ -268,6 +268,21 @@ def test_packing_covers_every_id_once(spark, odd):
     assert all(sum(packing.piece_lengths(n)) == n for n in range(1, 9000, 7))
 
 
+def test_packed_files_round_trip(spark, odd, sf_dir):
+    want = packing.pack(odd, tokens.default_path())
+    got = packing.packed(odd, tokens.default_path())
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    rows, names = got.collect(), ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
+    assert Counter(str([r[x] for x in names]) for r in rows) == Counter(str([r[x] for x in names]) for r in want.collect())
+    assert all(len(r.ids) == r.length and crc(r.ids) == r.ids_crc32 for r in rows)
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    files = [(r.length, re.search(r"/length=(\d+)/", r.file)) for r in got.select("length", F.input_file_name().alias("file")).collect()]
+    assert all(at and int(at[1]) == n for n, at in files)
+    assert packing.packed(odd.limit(0), tokens.default_path()).count() == 0
+    for query in (entry.queries()["op8_packing"](spark, sf_dir), corpus_pipeline.pack(spark, odd, sf_dir)):
+        assert "/length=" in query.select(F.input_file_name()).first()[0]
+
+
 def words5(text):
     words = [w.translate({i: i + 32 for i in range(65, 91)}) for w in WORD.findall(text)]
     return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
