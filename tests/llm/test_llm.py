@@ -440,6 +440,16 @@ def test_mix_of_odd_rows(spark, odd):
     assert mixing.mixed_documents(odd.limit(0)).count() == 0
 
 
+def test_mix_of_capped_sources_takes_empty_documents_no_third_time(spark):
+    rows = [(i, "" if i % 2 else "some words here", "a") for i in range(200)] + [(i, "word " * 900, "b") for i in range(200, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan_mix(mixing.sized_documents(docs).select("source", "size", "hash"))
+    capped = plan.sources.where("target = 2 * source_size").collect()
+    assert [(r.source, r.every, r.below) for r in capped] == [("a", 2, 0)]
+    taken = Counter(r.doc_id for r in mixing.mixed_documents(docs).where("source = 'a'").collect())
+    assert len(taken) == 200 and set(taken.values()) == {2}
+
+
 def test_pipeline_stages(spark, sf_dir, docs):
     found, names = docs, docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -115,6 +115,8 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
             F.when(F.col("edge").isNull(), F.when(F.col("left") > 0, F.lit(1 << ALL)).otherwise(F.lit(0)))
             .when(single & nearer, F.col("edge.last") + 1).when(single, F.col("edge.first"))
         ).cast("long")
+        if not level:  # whole copies alone reach the target, so no document has one more, empty ones included
+            below = F.when(F.col("left") <= 0, F.lit(0).cast("long")).otherwise(below)
         stored = materialize(at.withColumn("below", below), "mix-edges")
         closed = stored.where("below is not null").select("source", "source_size", "target", "every", "below")
         done = closed if done is None else done.unionByName(closed)
