@@ -16,15 +16,10 @@ COLUMNS = [*KEY, "mean", "stddev", "p50", "p95", "p99", "sample_count", "window_
 
 def _statistics(samples: DataFrame, exact: bool) -> DataFrame:
     """Moments, bounds and percentiles of (service_name, metric_name, metric_value, timestamp) rows."""
-    moments = samples.groupBy(*KEY).agg(
-        F.avg("metric_value").alias("mean"),
-        F.stddev_pop("metric_value").alias("stddev"),
-        F.count("metric_value").alias("sample_count"),
-        F.min("timestamp").alias("window_start"),
-        F.max("timestamp").alias("window_end"),
-    )
-    spread = grouped_profile(samples, KEY, "metric_value", PERCENTILES, exact=exact)
-    return moments.join(spread, KEY).select(*COLUMNS)
+    return grouped_profile(
+        samples, KEY, "metric_value", PERCENTILES, exact=exact, moments=True,
+        extremes={"window_start": (F.col("timestamp"), F.min), "window_end": (F.col("timestamp"), F.max)},
+    ).withColumnRenamed("n_values", "sample_count").select(*COLUMNS)
 
 
 def metric_baselines(
