@@ -44,6 +44,8 @@ LEAST = 1000
 SAMPLE, DICTIONARY = 4 << 20, 64 << 10
 #: Bytes of an archive, about, and of the parts it is read in.
 ARCHIVE, BLOCK = 256 << 20, 8 << 20
+#: Bytes of archives that a reading task gets, about; fewer if there are not enough for all cores.
+TASK = 128 << 20
 #: Payload bytes in one batch of read records.
 OUT_BYTES = 8 << 20
 LEVEL = 3
@@ -320,7 +322,9 @@ def read_archives(spark: SparkSession, blocks: DataFrame, folder: str, with_payl
         yield out()
 
     schema = RECORD + ", payload binary" * with_payload
-    return blocks.select("path", "start", "size", "records").repartition("path", "start").mapInArrow(read, schema)
+    total = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = min(total[0], max(spark.sparkContext.defaultParallelism, -(-total[1] // TASK)))
+    return blocks.select("path", "start", "size", "records").repartition(max(1, tasks)).mapInArrow(read, schema)
 
 
 def op13_warc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
