@@ -19,10 +19,10 @@ _PLAIN = re.compile(f"[{_LETTERS}]+")
 #: without any is recognised by its length: parts and white space add up to it.
 _OTHER = re.compile(f"[^A-ZÀ-ÖØ-Þ{_LETTERS}0-9{_MARKS} \n\t\r]|<\\|")
 _GAP = re.compile(r"[ \n\t\r]+")
-#: Entries kept before a store is emptied, which bounds a worker's memory.
-KEPT = 1_000_000
-#: Characters of text whose unknown words are encoded in one call.
-AT_ONCE = 4_000_000
+#: Bytes of known parts before a store is emptied, and what an entry takes besides its text and ids.
+KEPT, ENTRY = 32 << 20, 200
+#: Characters of text whose unknown words are encoded in one call; a longer text is a call of its own.
+AT_ONCE = 500_000
 
 
 class Encoder:
@@ -45,6 +45,7 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def one(self, text: str) -> bytes:
         got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -53,8 +54,9 @@ class Encoder:
     def learn(self, parts: set[str]) -> None:
         """Store the ids of parts that are not known yet."""
         new = parts.difference(self.known)
-        if len(self.known) + len(new) > KEPT:
-            self.known, new = {}, parts
+        if self.size > KEPT:
+            self.known, self.size, new = {}, 0, parts
+        self.size += sum(map(len, new)) * 3 + ENTRY * len(new)
         simple = [x for x in new if x.isascii() and x.isalpha() and x.islower()]
         # The model alone does for a-z: there is nothing to normalize and no byte to rename.
         tokenize = self.model.tokenize
