@@ -19,10 +19,11 @@ _PLAIN = re.compile(f"[{_LETTERS}]+")
 #: without any is recognised by its length: parts and white space add up to it.
 _OTHER = re.compile(f"[^A-ZÀ-ÖØ-Þ{_LETTERS}0-9{_MARKS} \n\t\r]|<\\|")
 _GAP = re.compile(r"[ \n\t\r]+")
-#: Bytes of known parts before a store is emptied, and what an entry takes besides its text and ids.
-KEPT, ENTRY = 32 << 20, 200
+#: Bytes of known parts, about, and what an entry takes besides its text and ids. Parts that were not met while half of
+#: that came in are forgotten.
+KEPT, ENTRY = 288 << 20, 300
 #: Characters of text whose unknown words are encoded in one call; a longer text is a call of its own.
-AT_ONCE = 500_000
+AT_ONCE = 2_000_000
 
 
 class Encoder:
@@ -45,6 +46,7 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.size = 0
 
     def one(self, text: str) -> bytes:
@@ -54,9 +56,13 @@ class Encoder:
     def learn(self, parts: set[str]) -> None:
         """Store the ids of parts that are not known yet."""
         new = parts.difference(self.known)
-        if self.size > KEPT:
-            self.known, self.size, new = {}, 0, parts
         self.size += sum(map(len, new)) * 3 + ENTRY * len(new)
+        if self.size > KEPT // 2:
+            self.earlier, self.known, self.size, new = self.known, {}, 0, parts
+        if self.earlier:
+            again = new.intersection(self.earlier)
+            self.known.update((x, self.earlier[x]) for x in again)
+            new = new.difference(again)
         simple = [x for x in new if x.isascii() and x.isalpha() and x.islower()]
         # The model alone does for a-z: there is nothing to normalize and no byte to rename.
         tokenize = self.model.tokenize
