@@ -21,7 +21,7 @@ _OTHER = re.compile(f"[^A-ZÀ-ÖØ-Þ{_LETTERS}0-9{_MARKS} \n\t\r]|<\\|")
 _GAP = re.compile(r"[ \n\t\r]+")
 #: Bytes of known parts, about, and what an entry takes besides its text and ids. Parts that were not met while half of
 #: that came in are forgotten.
-KEPT, ENTRY = 288 << 20, 300
+KEPT, ENTRY = 448 << 20, 300
 #: Characters of text whose unknown words are encoded in one call; a longer text is a call of its own.
 AT_ONCE = 2_000_000
 
