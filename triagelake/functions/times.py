@@ -39,3 +39,8 @@ def minutes(n: float) -> Column:
 def bucket_start(ts: Column, width: str) -> Column:
     """Start of the epoch-aligned bucket a timestamp falls in."""
     return F.window(ts, width)["start"]
+
+
+def utc_day(ts: Column) -> Column:
+    """The UTC day of a time, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))

@@ -38,7 +38,11 @@ def metric_baselines(
     history = metrics.where(finite(F.col("metric_value")))
     if since is not None:
         history = history.where(F.col("timestamp") >= since)
-    stats = _statistics(history.select(*KEY, "metric_value", "timestamp"), exact)
+    return gated(_statistics(history.select(*KEY, "metric_value", "timestamp"), exact), min_samples, min_metric_samples)
+
+
+def gated(stats: DataFrame, min_samples: int, min_metric_samples: int) -> DataFrame:
+    """Baselines of services and metrics with enough samples."""
     total = F.sum("sample_count").over(Window.partitionBy("service_name"))
     return (
         stats.withColumn("_total", total)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triagelake.functions.scores import finite, first_rule, root_cause_text, rounded, zscore
@@ -30,38 +30,85 @@ def incident_metric_window(incidents: DataFrame, metrics: DataFrame, window_minu
     ).select("incident_id", "service_name", "timestamp", "metric_name", "metric_value", "source")
 
 
+def _figures(suffix: str, condition: Column) -> list[Column]:
+    """Count, sum and bounds of the finite values that meet a condition; each adds up over parts by itself."""
+    value = F.when(condition & finite(F.col("metric_value")), F.col("metric_value"))
+    return [
+        F.count(value).alias(f"n_{suffix}"), F.sum(value).alias(f"sum_{suffix}"),
+        F.min(value).alias(f"min_{suffix}"), F.max(value).alias(f"max_{suffix}"),
+    ]
+
+
+def _window_figures() -> list[Column]:
+    """Of any readings: how many, and the figures of those of an infra source and of those with an infra name."""
+    return [
+        F.count(F.lit(1)).alias("n_all"), *_figures("s", F.col("source").isin(*INFRA_SOURCES)),
+        *_figures("n", F.col("metric_name").isin(*INFRA_METRICS)),
+    ]
+
+
+def _added_figures() -> list[Column]:
+    folds = {"n": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    return [F.sum("n_all").alias("n_all")] + [
+        fold(f"{name}_{suffix}").alias(f"{name}_{suffix}") for suffix in ("s", "n") for name, fold in folds.items()
+    ]
+
+
+def window_figures(window: DataFrame) -> DataFrame:
+    """Per incident and metric the figures of its readings in the window."""
+    return window.groupBy("incident_id", "service_name", "metric_name").agg(*_window_figures())
+
+
+def window_figures_by_bin(
+    incidents: DataFrame, metrics: DataFrame, window_minutes: int = 60, bin_seconds: int | None = None
+) -> DataFrame:
+    """The same figures without a copy of the readings for each incident.
+
+    Readings are added up once, by service, metric and time bin (a sixth of the window unless given). Of the bins that
+    lie within an incident's window their sums are taken; only in the two bins at its edges are readings looked at.
+    """
+    width = (bin_seconds or max(1, window_minutes * 20)) * 1_000_000
+
+    def bin_of(ts: Column) -> Column:
+        return F.floor(F.unix_micros(ts) / width).cast("bigint")
+
+    spans = incidents.select(
+        F.col("id").alias("incident_id"), "service_name",
+        (F.col("timestamp") - minutes(window_minutes)).alias("_from"), (F.col("timestamp") + minutes(window_minutes)).alias("_to"),
+    ).withColumns({"_first": bin_of(F.col("_from")), "_last": bin_of(F.col("_to"))})
+    binned = metrics.withColumn("_bin", bin_of(F.col("timestamp")))
+    sums = binned.groupBy("service_name", "metric_name", "_bin").agg(*_window_figures())
+    inner = F.when(F.col("_last") - F.col("_first") > 1, F.sequence(F.col("_first") + 1, F.col("_last") - 1))
+    whole = spans.select("incident_id", "service_name", F.explode(inner).alias("_bin")).join(sums, ["service_name", "_bin"])
+    edges = spans.select(
+        "incident_id", "service_name", "_from", "_to", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_bin")
+    ).join(binned, ["service_name", "_bin"]).where(F.col("timestamp").between(F.col("_from"), F.col("_to")))
+    return whole.drop("_bin").unionByName(window_figures(edges)).groupBy("incident_id", "service_name", "metric_name").agg(
+        *_added_figures()
+    )
+
+
 def window_metric_mean(window: DataFrame, baselines: DataFrame) -> DataFrame:
     """Per incident and infra metric: window mean, its distance and the largest single distance.
 
-    Infra readings are those of an infra source; where an incident has none, those with an infra
-    name. Series that are constant or have no baseline drop out.
+    `window` has the readings of incidents, or their figures. Infra readings are those of an infra source; where an
+    incident has none, those with an infra name. Series that are constant or have no baseline drop out.
     """
-    by_source = F.col("source").isin(*INFRA_SOURCES)
-    by_name = F.col("metric_name").isin(*INFRA_METRICS)
-
-    def stats(condition, suffix: str):
-        value = F.when(condition & finite(F.col("metric_value")), F.col("metric_value"))
-        return [
-            F.count(value).alias(f"n_{suffix}"), F.avg(value).alias(f"avg_{suffix}"),
-            F.min(value).alias(f"min_{suffix}"), F.max(value).alias(f"max_{suffix}"),
-        ]
-
-    cells = window.where(by_source | by_name).groupBy("incident_id", "service_name", "metric_name").agg(
-        *stats(by_source, "s"), *stats(by_name, "n")
-    )
+    cells = window if "n_all" in window.columns else window_figures(window)
     has_source = F.max(F.col("n_s") > 0).over(Window.partitionBy("incident_id"))
     chosen = cells.withColumn("_src", has_source).select(
         "incident_id", *KEY,
         *[
             F.when(F.col("_src"), F.col(f"{name}_s")).otherwise(F.col(f"{name}_n")).alias(name)
-            for name in ("n", "avg", "min", "max")
+            for name in ("n", "sum", "min", "max")
         ],
     ).where(F.col("n") > 0)
     stats_of = baselines.where(F.col("stddev") != 0).select(*KEY, "mean", "stddev")
     mean, stddev = F.col("mean"), F.col("stddev")
+    average = F.col("sum") / F.col("n")
     return chosen.join(stats_of, KEY).select(
-        "incident_id", *KEY, F.col("avg").alias("window_mean"),
-        zscore(F.col("avg"), mean, stddev).alias("z_mean"),
+        "incident_id", *KEY, average.alias("window_mean"),
+        zscore(average, mean, stddev).alias("z_mean"),
         F.greatest(
             F.abs(zscore(F.col("min"), mean, stddev)), F.abs(zscore(F.col("max"), mean, stddev))
         ).alias("z_max_abs"),
@@ -130,13 +177,16 @@ def diagnose_incidents(
 ) -> DataFrame:
     """Root cause rows (id, rule, primary metric, correlated metrics, text) for the pending incidents.
 
-    Incidents without any reading in their window give no row and so stay undiagnosed. The readings
-    around incidents are looked at three times and so are stored once.
+    Incidents without any reading in their window give no row and so stay undiagnosed. What is elevated follows from
+    figures by time bin; the readings around incidents are joined once, for those whose rule names a metric, and not
+    stored.
     """
-    around = incident_metric_window(pending_incidents(incidents), metrics, window_minutes)
-    window = materialize(around, "incident-windows")
-    ruled = match_rule(window, elevated_infra(window, baselines, sigma, elevated_by))
-    pairs = co_observed_pairs(window, ruled.select("incident_id", "primary_metric"))
+    pending = pending_incidents(incidents)
+    figures = materialize(window_figures_by_bin(pending, metrics, window_minutes), "window-figures")
+    ruled = materialize(match_rule(figures, elevated_infra(figures, baselines, sigma, elevated_by)), "ruled")
+    primary = ruled.where("primary_metric IS NOT NULL").select("incident_id", "primary_metric")
+    named_incidents = pending.join(primary.select(F.col("incident_id").alias("id")), "id", "left_semi")
+    pairs = co_observed_pairs(incident_metric_window(named_incidents, metrics, window_minutes), primary)
     named = (
         correlated_metrics(pairs, correlation)
         .groupBy("incident_id")

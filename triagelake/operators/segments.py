@@ -13,6 +13,21 @@ from pyspark.sql import functions as F
 
 from triagelake.session import broadcast_if_small, materialize
 
+#: Bytes of one merged entry, which is one value of a row; a larger one is an error that names where it lies.
+MAX_ENTRY = 256 << 20
+
+
+def joined_lines(lines: Column, of_entry: Window, limit: int, file: Column, block: Column) -> Column:
+    """The lines of a window partition joined by line feeds; an error, before they are gathered, if they are too many.
+
+    A quote that is never closed makes the rest of a file one record; nothing can be told from it but where it is.
+    """
+    size = F.sum(F.octet_length(lines) + 1).over(of_entry)
+    place = F.concat(F.lit("an entry has more than "), F.lit(str(limit)), F.lit(" bytes, in file "), file.cast("string"),
+                     F.lit(", block "), block.cast("string"))
+    kept = F.when(size <= limit, lines).otherwise(F.raise_error(place))
+    return F.array_join(F.collect_list(kept).over(of_entry), "\n")
+
 
 def with_owner_block(rows: DataFrame, file: list[str], block: str, pos: str, opens: Column) -> DataFrame:
     """Add `_opens` and `_owner`, the block that holds the opener of each row; orphans are dropped.
@@ -47,6 +62,7 @@ def merge_continuations(
     ts: str = "ts_ms",
     message: str = "message",
     aligned: bool = False,
+    max_entry: int = MAX_ENTRY,
 ) -> DataFrame:
     """One row per entry: the opener's time, all messages joined by line feeds in file order.
 
@@ -72,7 +88,7 @@ def merge_continuations(
         owned.withColumn("_entry", entry)
         .where(F.col("_entry") > 0)
         .withColumns({
-            message: F.array_join(F.collect_list(message).over(of_entry), "\n"),
+            message: joined_lines(F.col(message), of_entry, max_entry, F.concat_ws("/", *file), F.col("_owner")),
             "n_continuations": F.count(F.lit(1)).over(of_entry) - 1,
         })
         .where("_opens")

@@ -9,16 +9,26 @@ from triagelake.operators.intervals import interval_join
 from triagelake.schemas import METRIC_KEY
 
 
-def time_grid(services: DataFrame, metrics: list[str], start: Column, end: Column, step_minutes: int = 5) -> DataFrame:
-    """Every (timestamp, service, metric) from `start` to before `end`, generated where the service row is.
+def time_grid(
+    services: DataFrame, metrics: list[str], start: Column, end: Column, step_minutes: int = 5, chunk: int = 4096,
+) -> DataFrame:
+    """Every (timestamp, service, metric) from `start` to before `end`.
 
-    An empty range gives no rows.
+    The range is cut into chunks of points; chunks are dealt out to tasks, and each then gives its points, so a long
+    grid of one service is neither one array nor one task. An empty range gives no rows.
     """
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(step_minutes))
-    last = end - F.expr("interval 1 microsecond")
+    step, begin = step_minutes * 60_000_000, F.unix_micros(start)
+    points = F.ceil((F.unix_micros(end) - begin) / step).cast("bigint")
+    chunks = F.when(points > 0, F.sequence(F.lit(0).cast("bigint"), F.floor((points - 1) / chunk).cast("bigint")))
+    dealt = (
+        services.select("service_name", points.alias("_points"), begin.alias("_begin"), F.explode(chunks).alias("_chunk"))
+        .repartition("service_name", "_chunk")
+    )
+    first = F.col("_chunk") * chunk
+    place = F.explode(F.sequence(first, F.least(first + chunk, F.col("_points")) - 1))
     return (
-        services.select("service_name")
-        .withColumn("timestamp", F.explode(F.when(start < end, F.sequence(start, F.greatest(start, last), step))))
+        dealt.select("service_name", "_begin", place.alias("_place"))
+        .select("service_name", F.timestamp_micros(F.col("_begin") + F.col("_place") * step).alias("timestamp"))
         .withColumn("metric_name", F.explode(F.array(*map(F.lit, metrics))))
         .select("timestamp", "service_name", "metric_name")
     )

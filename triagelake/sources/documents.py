@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triagelake.functions.times import to_epoch_us
+from triagelake.functions.times import to_epoch_us, utc_day
 from triagelake.schemas import DOC
 
 # Field names a store may use, by their role here.
@@ -42,8 +42,8 @@ def to_json_lines(docs: DataFrame) -> DataFrame:
 
 
 def write_log_documents(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
-    """Store documents by day. The rebalance hint evens out file sizes and splits a heavy day."""
-    dated = docs.withColumn("ds", F.to_date(F.timestamp_micros("_timestamp")))
+    """Store documents by UTC day. The rebalance hint evens out file sizes and splits a heavy day."""
+    dated = docs.withColumn("ds", utc_day(F.timestamp_micros("_timestamp")))
     dated.hint("rebalance", "ds").write.mode(mode).partitionBy("ds").format(fmt).save(path)
 
 
@@ -90,7 +90,7 @@ def scan_docs(
     for bound, compare in ((start, "ge"), (end, "le")):
         if bound is None:
             continue
-        micros, day = F.unix_micros(bound), F.to_date(bound)
+        micros, day = F.unix_micros(bound), utc_day(bound)
         kept = kept.where(stamp >= micros if compare == "ge" else stamp <= micros)
         if "ds" in docs.columns:
             kept = kept.where(F.col("ds") >= day if compare == "ge" else F.col("ds") <= day)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from triagelake.functions.text import clean_service_name, enrich, parse_lines, strip, valid_epoch_ms
 from triagelake.functions.times import resolve_timestamp
-from triagelake.operators.segments import merge_continuations
+from triagelake.operators.segments import MAX_ENTRY as MAX_RECORD
+from triagelake.operators.segments import joined_lines, merge_continuations
 from triagelake.schemas import LOG
 from triagelake.session import broadcast_if_small, materialize
 
@@ -29,6 +30,10 @@ ANY_FIELD = rf',({QUOTED}(?:"[^,]*+|\z)|[^",][^,]*+|)'
 ENTRY_START = r'\A\s*(?:[0-9]{13}|"\s*[0-9]{13}\s*")\s*(?:,|\z)'
 UNQUOTE = r'(?s)\A"([^"]*+(?:""[^"]*+)*+)"?(.*)\z'
 
+# A field of 13 digits behind the first one, and such a field alone.
+LATER_START = r'(?:\A|,)\s*(?:[0-9]{13}|"\s*[0-9]{13}\s*")\s*(?:,|\z)'
+EPOCH_FIELD = r'\A\s*(?:[0-9]{13}|"\s*[0-9]{13}\s*")\s*\z'
+
 OUTSIDE, INSIDE = 0, 1
 
 LINE_COLUMNS = "file bigint, service_name string, block bigint, block_bytes bigint, pos bigint, value string"
@@ -36,9 +41,26 @@ BLOCK = ["file", "block", "block_bytes"]
 ROW_COLUMNS = "file bigint, service_name string, block bigint, rid bigint, ts_ms string, message string"
 
 
-def discover_log_files(spark: SparkSession, path: str, service_from: str = "stem") -> DataFrame:
+def newest_change(spark: SparkSession, path: str, service_from: str = "stem") -> int | None:
+    """When the newest `*.csv` file of a folder was written, in epoch microseconds, from the listing alone."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option(
+        "recursiveFileLookup", str(service_from == "dir").lower()
+    )
+    try:
+        return reader.load(path).agg(F.max(F.unix_micros("modificationTime"))).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def discover_log_files(
+    spark: SparkSession, path: str, service_from: str = "stem", after: int | None = None, upto: int | None = None
+) -> DataFrame:
     """Lines of all `*.csv` files of a folder, with service, file, block and order.
 
+    Files can be limited to those written `after` and not later than `upto` (epoch microseconds); others are not read.
+
     The service is the file's stem, or with `service_from="dir"` the name of the folder that holds the file
     (`svc-1` or `service_name=svc-1`); only then sub-folders are read. A missing or empty folder gives no lines.
     """
@@ -49,6 +71,11 @@ def discover_log_files(spark: SparkSession, path: str, service_from: str = "stem
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LINE_COLUMNS)
+    written = F.col("_metadata.file_modification_time")
+    if after is not None:
+        lines = lines.where(written > F.timestamp_micros(F.lit(after)))
+    if upto is not None:
+        lines = lines.where(written <= F.timestamp_micros(F.lit(upto)))
     if service_from == "stem":
         service = F.substring(F.col("_metadata.file_name"), F.lit(1), F.length("_metadata.file_name") - len(".csv"))
     else:
@@ -128,28 +155,40 @@ def _with_state(df: DataFrame, partition: list[str], order: list[str]) -> DataFr
 def _block_table(lines: DataFrame) -> DataFrame:
     """Per block: where its first certain entry start is, the block rows before it belong to, and the header.
 
-    A certain entry start is a line that begins outside quotes with a 13 digit first field in a
-    file whose time column comes first. Only narrow columns are shuffled here.
+    A certain entry start is a line that begins outside quotes and has, whole and on this line, 13 digits in the
+    file's time column. The column is known only when the header is found, so starts are kept by column: each line
+    tells the first of its fields that is such a number. Only narrow columns are shuffled here.
     """
     header_like = (F.col("block") == 0) & F.contains(F.lower("value"), F.lit("timestamp"))
-    narrow = _with_effect(lines).withColumn("_starts", F.col("value").rlike(ENTRY_START)).select(
-        *BLOCK, "pos", "_fixed", "_flips", "_starts",
-        F.when(header_like & ~F.col("_starts"), F.col("value")).alias("_line"),
+    value = F.col("value")
+    later = F.array_position(F.transform(csv_fields(value), lambda x: x.rlike(EPOCH_FIELD)), F.lit(True))
+    start_at = F.when(value.rlike(ENTRY_START), F.lit(1)).when(value.rlike(LATER_START), F.nullif(later, F.lit(0)).cast("int"))
+    narrow = _with_effect(lines).withColumn("_col", start_at).select(
+        *BLOCK, "pos", "_fixed", "_flips", "_col",
+        F.when(header_like & F.col("_col").isNull(), F.col("value")).alias("_line"),
     )
     stated = _with_state(narrow, BLOCK, ["pos"])
     begins = {
-        start: F.col("_starts") & (F.coalesce(F.col("_known"), (F.col("_odd") + start) % 2) == OUTSIDE)
+        start: F.col("_col").isNotNull() & (F.coalesce(F.col("_known"), (F.col("_odd") + start) % 2) == OUTSIDE)
         for start in (OUTSIDE, INSIDE)
     }
     after_fixed = F.coalesce(F.col("_fixed"), F.when(F.col("_known").isNotNull(), (F.col("_known") + F.col("_flips")) % 2))
-    blocks = stated.groupBy(*BLOCK).agg(
-        F.max_by(after_fixed, "pos").alias("_fixed"),
-        F.max_by((F.col("_odd") + F.col("_flips")) % 2, "pos").alias("_flips"),
-        F.min(F.when(begins[OUTSIDE], F.col("pos"))).alias("_sync_outside"),
-        F.min(F.when(begins[INSIDE], F.col("pos"))).alias("_sync_inside"),
-        F.min_by("_line", "pos").alias("_line"),
+    last = F.struct("pos", after_fixed.alias("fixed"), ((F.col("_odd") + F.col("_flips")) % 2).alias("flips"))
+    by_column = stated.groupBy(*BLOCK, "_col").agg(
+        F.max(last).alias("_last"),
+        F.min(F.when(begins[OUTSIDE], F.col("pos"))).alias("outside"),
+        F.min(F.when(begins[INSIDE], F.col("pos"))).alias("inside"),
+        F.min(F.when(F.col("_line").isNotNull(), F.struct("pos", F.col("_line").alias("line")))).alias("_line"),
         F.min("pos").alias("_first_pos"),
     )
+    starts = F.when(F.col("_col").isNotNull(), F.struct(F.col("_col").alias("at"), "outside", "inside"))
+    blocks = by_column.groupBy(*BLOCK).agg(
+        F.max("_last").alias("_last"), F.min("_line").alias("_line"), F.min("_first_pos").alias("_first_pos"),
+        F.collect_list(starts).alias("_syncs"),
+    ).select(
+        *BLOCK, F.col("_last.fixed").alias("_fixed"), F.col("_last.flips").alias("_flips"), "_syncs",
+        F.col("_line.line").alias("_line"), "_first_pos",
+    )
     file = Window.partitionBy("file").orderBy("block")
     whole = file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = file.rowsBetween(Window.unboundedPreceding, -1)
@@ -167,10 +206,8 @@ def _block_table(lines: DataFrame) -> DataFrame:
         )
         .withColumn("_msg_at", F.coalesce(F.nullif(F.array_position("_names", F.lit("message")), F.lit(0)), F.lit(2)))
         .withColumn("_header_pos", F.when(F.col("block") == 0, F.col("_first_pos")))
-        .withColumn(
-            "_sync",
-            F.when(F.col("_ts_at") == 1, F.when(state == OUTSIDE, F.col("_sync_outside")).otherwise(F.col("_sync_inside"))),
-        )
+        .withColumn("_sync", F.get(F.filter("_syncs", lambda x: x["at"] == F.col("_ts_at")), F.lit(0)))
+        .withColumn("_sync", F.when(state == OUTSIDE, F.col("_sync.outside")).otherwise(F.col("_sync.inside")))
         .withColumn("_start", F.first("block").over(whole))
         .withColumn(
             "_carried",
@@ -195,7 +232,10 @@ def _pin_splits(spark: SparkSession) -> None:
         )
 
 
-def read_log_csv(spark: SparkSession, path: str, service_from: str = "stem") -> DataFrame:
+def read_log_csv(
+    spark: SparkSession, path: str, service_from: str = "stem", after: int | None = None, upto: int | None = None,
+    max_record: int = MAX_RECORD,
+) -> DataFrame:
     """CSV rows as (file, service_name, block, rid, ts_ms, message), in order within (file, block).
 
     No log entry crosses a `block` of the result. A field that is missing reads as the empty text.
@@ -203,7 +243,7 @@ def read_log_csv(spark: SparkSession, path: str, service_from: str = "stem") ->
     allows, so the lines themselves are shuffled only once.
     """
     _pin_splits(spark)
-    lines = discover_log_files(spark, path, service_from)
+    lines = discover_log_files(spark, path, service_from, after, upto)
     blocks = broadcast_if_small(materialize(_block_table(lines), "blocks"))
     moved = F.raise_error(F.lit("file splits differ between the two passes; read the files again")).cast("boolean")
     usable = F.when(F.col("_carried").isNull(), moved).otherwise(F.col("_ts_at").isNotNull())
@@ -224,7 +264,7 @@ def read_log_csv(spark: SparkSession, path: str, service_from: str = "stem") ->
     records = (
         stated.withColumn("_begins", F.coalesce(F.col("_known"), F.col("_odd")) == OUTSIDE)
         .withColumn("rid", F.sum(F.col("_begins").cast("bigint")).over(running))
-        .withColumn("_record", F.array_join(F.collect_list("value").over(of_record), "\n"))
+        .withColumn("_record", joined_lines(F.col("value"), of_record, max_record, F.col("file"), F.col("_owner")))
         .where(F.col("_begins") & (F.col("_record") != ""))
         .withColumn("_fields", csv_fields(F.col("_record")))
     )
@@ -247,23 +287,24 @@ def parse_entries(entries: DataFrame) -> DataFrame:
     return enrich(parse_lines(entries)).withColumn("timestamp_dt", stamp)
 
 
-def entries_from_rows(rows: DataFrame, file: list[str], aligned: bool = False) -> DataFrame:
+def entries_from_rows(rows: DataFrame, file: list[str], aligned: bool = False, max_entry: int = MAX_RECORD) -> DataFrame:
     """Merge continuation rows: a row whose time is not 13 digits continues the entry before it."""
-    return merge_continuations(rows, valid_epoch_ms(F.col("ts_ms")), file, aligned=aligned)
+    return merge_continuations(rows, valid_epoch_ms(F.col("ts_ms")), file, aligned=aligned, max_entry=max_entry)
 
 
 def read_logs(
-    spark: SparkSession, path: str, service_from: str = "stem", strip_suffix: bool = False
+    spark: SparkSession, path: str, service_from: str = "stem", strip_suffix: bool = False, after: int | None = None,
+    upto: int | None = None, max_record: int = MAX_RECORD,
 ) -> DataFrame:
     """Parsed log entries of all files below a folder.
 
     `strip_suffix` drops a trailing `-<digits>` from service names; labels that carry the number
     then no longer match, so it is off by default.
     """
-    rows = read_log_csv(spark, path, service_from)
+    rows = read_log_csv(spark, path, service_from, after, upto, max_record)
     if strip_suffix:
         rows = rows.withColumn("service_name", clean_service_name(F.col("service_name")))
-    entries = entries_from_rows(rows, ["file", "service_name"], aligned=True)
+    entries = entries_from_rows(rows, ["file", "service_name"], aligned=True, max_entry=max_record)
     return parse_entries(entries).where("parsed").select(*LOG.fieldNames())
 
 

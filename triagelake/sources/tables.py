@@ -1,20 +1,22 @@
-"""Fact tables on plain parquet: append-only batches with a current view.
+"""Fact tables on plain parquet: numbered batches with a current view, kept by a commit log (`table_log`).
 
-A batch is a folder `ingest_seq=<n>` of its table, so writing it again after a failure replaces
-only itself and never a folder that the same plan reads. Batches of metrics are cut by day (UTC)
-below that, so a range of times reads its days only.
+A batch written again after a failure replaces only itself and never a folder that a plan reads. Batches of metrics
+are cut by day (UTC), so a range of times reads its days only. `compact_metrics` merges batches into a base, so that a
+read looks at the base and at what came after it.
 """
 
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from triagelake.functions.times import utc_day
 from triagelake.operators.baselines import latest_baseline
 from triagelake.operators.upserts import dedup_keep_last, upsert_baselines, upsert_metrics
 from triagelake.schemas import (
@@ -25,38 +27,105 @@ from triagelake.schemas import (
     INCIDENT,
     METRIC,
 )
+from triagelake.sources import table_log
 
 
-def _day(ts: Column) -> Column:
-    """The UTC day of a time, whatever the session's zone."""
-    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+def _full(schema: T.StructType) -> T.StructType:
+    days = [T.StructField("ds", T.DateType())] if schema == METRIC else []
+    return T.StructType([*schema.fields, T.StructField("ingest_seq", T.LongType()), T.StructField("w", T.StringType()), *days])
+
+
+def read_live(
+    spark: SparkSession, path: str, schema: T.StructType, state: table_log.State, upto: int | None = None,
+    first: str | None = None, last: str | None = None, days: set[str] | None = None,
+) -> DataFrame:
+    """The live folders of a state, of tables cut by day only the wanted days."""
+    folders = []
+    for live in state.live:
+        if upto is not None and live.seq > upto:
+            continue
+        if live.days is None:
+            folders.append(live.folder)
+            continue
+        wanted = [d for d in live.days if (first is None or d >= first) and (last is None or d <= last)]
+        folders += [f"{live.folder}/ds={d}" for d in wanted if days is None or d in days]
+    if not folders:
+        return spark.createDataFrame([], _full(schema)).drop("w")
+    found = spark.read.schema(_full(schema)).option("basePath", path).parquet(*[f"{path}/{x}" for x in folders])
+    return found.drop("w")
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None) -> DataFrame:
+    """The live batches of a table (up to a number) with their `ingest_seq` (metrics: and `ds`); none if not written yet."""
+    return read_live(spark, path, schema, table_log.current(spark, path), upto)
+
+
+def _written(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write a frame and return its rows, counted on the way."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
+def write_batch(df: DataFrame, path: str, seq: int, schema: T.StructType) -> tuple[table_log.Live, int]:
+    """Write a batch's folder, which nothing refers to yet; the folder and its number of rows."""
+    spark, folder = df.sparkSession, table_log.new_folder(seq)
+    aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    if schema != METRIC:
+        return table_log.Live(seq, folder), _written(aligned, lambda x: x.write.parquet(f"{path}/{folder}"))
+    rows = _written(aligned, lambda x: _by_day(x).parquet(f"{path}/{folder}"))
+    return table_log.Live(seq, folder, table_log.days_of(spark, f"{path}/{folder}")), rows
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches of a table with their `ingest_seq` (metrics: and `ds`); a table not written yet is empty."""
-    days = [T.StructField("ds", T.DateType())] if schema == METRIC else []
-    full = T.StructType([*schema.fields, T.StructField("ingest_seq", T.LongType()), *days])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
+def append_batch(
+    df: DataFrame, path: str, ingest_seq: int, schema: T.StructType, marks: dict[str, int | str] | None = None
+) -> int:
+    """Write and commit one batch; the same number again replaces that batch. Returns its number of rows.
 
+    `marks` are stored in the same commit, so what they say holds if and only if the batch is there.
+    """
+    table_log.with_batch(table_log.current(df.sparkSession, path), table_log.Live(ingest_seq, ""))  # refused before it is written
+    added, rows = write_batch(df, path, ingest_seq, schema)
+    table_log.commit(df.sparkSession, path, lambda state: table_log.with_batch(state, added, marks))
+    return rows
 
-def append_batch(df: DataFrame, path: str, ingest_seq: int, schema: T.StructType) -> None:
-    """Write one batch; the same number again replaces that batch."""
-    aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-    if schema == METRIC:
-        _by_day(aligned, []).parquet(f"{path}/ingest_seq={ingest_seq}")
-    else:
-        aligned.write.mode("overwrite").parquet(f"{path}/ingest_seq={ingest_seq}")
 
+def _by_day(metrics: DataFrame) -> DataFrameWriter:
+    """A writer by day; a day's rows come together, a large day's in several files."""
+    dated = metrics.withColumn("ds", utc_day(F.col("timestamp"))).hint("rebalance", "ds")
+    return dated.write.partitionBy("ds")
 
-def _by_day(metrics: DataFrame, above: list[str]) -> DataFrameWriter:
-    """A writer that replaces all there is, by day; a day's rows come together, a large day's in several files."""
-    dated = metrics.withColumn("ds", _day(F.col("timestamp"))).hint("rebalance", "ds")
-    return dated.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*above, "ds")
+
+def compact_metrics(spark: SparkSession, path: str, upto: int | None = None) -> int:
+    """Merge the batches up to a number (all there are) into the base; returns the number of days rewritten.
+
+    Only days that more than one folder holds are written, from these folders alone; the base keeps its other days
+    where they are. Readers see the table as before or after, with the same contents.
+    """
+    seen = table_log.current(spark, path)
+    if not seen.live:
+        return 0
+    upto = max(x.seq for x in seen.live) if upto is None else upto
+    held = Counter(day for x in seen.live if x.seq <= upto for day in x.days or [])
+    days = {day for day, n in held.items() if n > 1}
+    if not days:
+        table_log.commit(spark, path, lambda state: table_log.compacted(state, seen, table_log.Live(upto, "", []), upto))
+        return 0
+    rows = upsert_metrics(read_live(spark, path, METRIC, seen, upto, days=days), ["ingest_seq", "created_at"])
+    base, _ = write_batch(rows.drop("ingest_seq", "ds"), path, upto, METRIC)
+    table_log.commit(spark, path, lambda state: table_log.compacted(state, seen, base, upto))
+    return len(days)
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, key: list[str], order: list[str]) -> None:
+    """Merge all batches of a table that is not cut by day into one folder with the latest row of each key."""
+    seen = table_log.current(spark, path)
+    if len(seen.live) < 2:
+        return
+    upto = max(x.seq for x in seen.live)
+    rows = dedup_keep_last(read_live(spark, path, schema, seen), key, order).drop("ingest_seq")
+    base, _ = write_batch(rows, path, upto, schema)
+    table_log.commit(spark, path, lambda state: table_log.compacted(state, seen, base, upto))
 
 
 def read_metrics(spark: SparkSession, path: str, start: Column | None = None, end: Column | None = None) -> DataFrame:
@@ -66,9 +135,9 @@ def read_metrics(spark: SparkSession, path: str, start: Column | None = None, en
     """
     batches, ts = read_batches(spark, path, METRIC), F.col("timestamp")
     if start is not None:
-        batches = batches.where((F.col("ds") >= _day(start)) & (ts >= start))
+        batches = batches.where((F.col("ds") >= utc_day(start)) & (ts >= start))
     if end is not None:
-        batches = batches.where((F.col("ds") <= _day(end)) & (ts <= end))
+        batches = batches.where((F.col("ds") <= utc_day(end)) & (ts <= end))
     return upsert_metrics(batches, ["ingest_seq", "created_at"]).drop("ingest_seq", "ds")
 
 
@@ -87,9 +156,9 @@ def read_incidents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_all_metrics(metrics: DataFrame, path: str) -> None:
-    """Drop every batch and store `metrics` as the only one."""
-    aligned = metrics.select(*[F.col(f.name).cast(f.dataType) for f in METRIC])
-    _by_day(aligned.withColumn("ingest_seq", F.lit(0)), ["ingest_seq"]).parquet(path)
+    """Store `metrics` as the only batch, in place of all there are."""
+    only, _ = write_batch(metrics, path, 0, METRIC)
+    table_log.commit(metrics.sparkSession, path, lambda state: table_log.replaced_by(state, only))
 
 
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
@@ -154,7 +223,7 @@ def read_evaluation_summary(spark: SparkSession, path: str) -> DataFrame:
     """The stored summary; a row of zeros with status `pending` when there is none."""
     schema = (
         "ground_truth_count bigint, detected_count bigint, tp bigint, fp bigint, fn bigint, "
-        "precision double, recall double, f1 double, status string"
+        "precision double, recall double, f1 double, tolerance_minutes bigint, generated_at timestamp, status string"
     )
     try:
         stored = spark.read.schema(schema).json(f"{path}/summary")
@@ -162,7 +231,7 @@ def read_evaluation_summary(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([(0, 0, 0, 0, 0, 0.0, 0.0, 0.0, "pending")], schema)
+        return spark.createDataFrame([(0, 0, 0, 0, 0, 0.0, 0.0, 0.0, None, None, "pending")], schema)
 
 
 def stage_audit(

@@ -21,6 +21,8 @@ from triagelake.functions.scores import (
 )
 from triagelake.operators.detect import join_latest_baseline
 from triagelake.operators.rollup import unpivot_buckets
+from triagelake.schemas import METRIC
+from triagelake.sources.tables import append_batch
 
 
 def _count_if(condition: Column) -> Column:
@@ -95,3 +97,18 @@ def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
         stream.writeStream.outputMode("append").format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def upsert_stream(metrics: DataFrame, path: str, checkpoint: str, first_seq: int = 1) -> StreamingQuery:
+    """Process what is available now of a stream of metric rows into a metrics table, each micro-batch as one batch.
+
+    The number of a batch follows from the micro-batch's, so one that is replayed after a failure replaces itself; where
+    the streams of a table begin is for the caller to tell by `first_seq`.
+    """
+    def store(rows: DataFrame, batch_id: int) -> None:
+        append_batch(rows.withColumn("created_at", F.current_timestamp()), path, first_seq + batch_id, METRIC)
+
+    return (
+        metrics.writeStream.outputMode("append").foreachBatch(store)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
