@@ -429,6 +429,33 @@ def test_lm_counts_keep_every_word_and_pair_apart(spark):
             assert row.target_loss == pytest.approx(-np.log2(none), rel=1e-9)
 
 
+def lm_rows(frame):
+    return sorted([(r.doc_id is not None, r.doc_id or 0, r.n_words, *[pytest.approx(x, rel=1e-9, abs=1e-12) for x in r[2:]]) for r in frame.collect()],
+                  key=lambda r: (r[:3], str(r[3])))
+
+
+@pytest.mark.parametrize("chunk_bytes", [1, 300, 1 << 24])
+def test_a_corpus_is_scored_alike_by_stored_models_and_in_one_pass(spark, odd, chunk_bytes):
+    docs = odd.withColumn("target", F.col("row") % 2 == 0)
+    want = lm_rows(lm_scores.score_documents(docs, lm_scores.gather(docs)))
+    got = lm_rows(lm_scores.score_corpus(docs, chunk_bytes=chunk_bytes))
+    assert len(got) == len(ROWS) and got == want
+    assert lm_scores.score_corpus(docs.limit(0)).collect() == []
+
+
+def test_lm_query_scores_every_document(spark, sf_dir, texts):
+    rows = entry.queries()["op9_lm_scores"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    assert all(r.n_words == len(WORD.findall(texts[r.doc_id])) for r in rows)
+
+
+def test_packed_keys_round_trip():
+    draw = np.random.Generator(np.random.PCG64(1))
+    for n in (0, 1, 1000):
+        keys = np.sort(draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        assert (lm_scores._unpack_keys(lm_scores._pack_keys(keys)) == keys).all()
+
+
 def test_mix_of_odd_rows(spark, odd):
     sized = mixing.sized_documents(odd)
     plan = mixing.plan_mix(sized.select("source", "size", "hash"))

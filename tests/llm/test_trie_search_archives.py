@@ -96,7 +96,6 @@ def many_partitions(spark):
 
 def test_trie_with_a_very_long_conversation_and_many_copies(spark, monkeypatch, many_partitions):
     monkeypatch.setattr(prefix_trie, "LEAST_HEAVY", 4)  # a deep top of the tree and several shards
-    monkeypatch.setattr(prefix_trie, "IDS", 7)
     rows = [(100, t, "user", f"t{t % 50}") for t in range(3000)]
     rows += [(101, t, "user", f"t{t % 50}") for t in range(2990)]
     rows += [(c, t, "user", f"t{t}") for c in range(300, 700) for t in range(8)]
@@ -165,9 +164,8 @@ ODD_ITEMS = [
 ]
 
 
-@pytest.mark.parametrize(("k", "block", "cells"), [(20, 10**6, 1 << 20), (2, 3, 4)])
-def test_search_on_awkward_rows(spark, monkeypatch, k, block, cells):
-    monkeypatch.setattr(ranked_search, "CELLS", cells)
+@pytest.mark.parametrize(("k", "block"), [(20, 10**6), (2, 3)])
+def test_search_on_awkward_rows(spark, k, block):
     docs = spark.createDataFrame([(*r, 1, "s") for r in ODD_DOCS], "doc_id long, text string, rank long, item string").repartition(3)
     items = spark.createDataFrame([(*r, 1.0) for r in ODD_ITEMS], "item_id long, text string, score double")
     got = ranked_search.search(docs, items, k, block)
