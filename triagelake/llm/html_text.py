@@ -6,20 +6,23 @@ like, forms and hidden blocks are doubtful: read, and dropped unless they hold t
 points, or are a section of the article that is found by its id. Article, inline elements and headings are not in doubt
 for their names.
 Each block with text of its own is a paragraph that gives points for its length and commas to the blocks
-around it: all to its parent, half to the next, then a third of that and less, each times the share of
-its text outside links. The best container is kept with those siblings that score well enough or read like
+around it: all to its parent, half to the next, then a third of that and less, up to the 32nd, each times the share
+of its text outside links. The best container is kept with those siblings that score well enough or read like
 paragraphs, widened to the article or main element it lies in. Blocks are joined in page order.
 
 Edge cases: null or empty html gives an empty text, so does a page without text outside the skipped parts. Broken
 markup is closed as browsers do for paragraphs, list items and table cells; open elements end with the page. A
 page with too little text for points keeps its article or main element, else its body. Rows are judged alone:
 ties, repeats and empty tables need no rule, and ids may be null. Of containers with equal scores the first is
-kept. Other columns of the input are not carried.
+kept. Other columns of the input are not carried. The work on a page is in proportion to its length, however deep its
+elements lie and however many are never closed.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -56,6 +59,8 @@ CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
+#: Blocks around a paragraph that get points from it.
+LEVELS = 32
 _WORDS = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 #: A tag that the page's end cuts off.
@@ -65,7 +70,7 @@ _CUT_TAG = re.compile(r"<[/a-zA-Z!][^<>]*\Z")
 class Block:
     """An element that is not inline: its own text runs and blocks, in order."""
 
-    __slots__ = ("tag", "parent", "items", "linked", "score", "names", "chars", "links", "doubt")
+    __slots__ = ("tag", "parent", "items", "linked", "score", "names", "chars", "links", "doubt", "inside")
 
     def __init__(self, tag: str, parent: Block | None, names: set[str] | frozenset = frozenset(), doubt: str = ""):
         self.tag, self.parent, self.names = tag, parent, names
@@ -75,6 +80,8 @@ class Block:
         self.chars = self.links = 0
         #: Why the block may not be the article: "hidden", "said", "id" (by its id alone), "name", or nothing.
         self.doubt = doubt
+        #: Whether an article or what readers said is around it.
+        self.inside = parent is not None and (parent.inside or parent.tag == "article" or parent.doubt == "said")
 
     def text(self) -> str:
         """All text below, blocks apart."""
@@ -98,6 +105,9 @@ class _Tree(HTMLParser):
         self.blocks = [self.root]
         #: Open elements, outermost first: tag, block (none if inline or skipped), and whether it is skipped.
         self.open: list[tuple[str, Block | None, bool]] = []
+        #: Where the elements of each tag are among them, and where those that are not inline are.
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.outer: list[int] = []
         #: Place of the outermost skipped element among them, if any.
         self.skip: int | None = None
         self.in_link = 0
@@ -110,13 +120,13 @@ class _Tree(HTMLParser):
                 self.block.items.append(" ")
             return
         if self.skip is not None and tag in INLINE:
-            self.open.append((tag, None, True))
+            self._push(tag, None, True)
             return
         if self.skip is not None and tag not in ("html", "body"):
             # What the element closes may be skipped, which then ends.
             self._imply(tag)
         if self.skip is not None:
-            self.open.append((tag, None, True))
+            self._push(tag, None, True)
             return
         names = {w for key, value in attrs if value and key in ("class", "id", "role") for w in _WORDS.findall(value.lower())}
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
@@ -125,19 +135,19 @@ class _Tree(HTMLParser):
                 self._imply(tag)
             self.block.items.append(" ")
             self.skip = len(self.open)
-            self.open.append((tag, None, True))
+            self._push(tag, None, True)
             return
         if tag in ("html", "body"):
             return
         if tag in INLINE:
-            self.open.append((tag, None, False))
+            self._push(tag, None, False)
             self.in_link += tag == "a"
             return
         self._imply(tag)
         child = Block(tag, self.block, names, _doubt(tag, names, attrs, hidden, self.block))
         self.block.items.append(child)
         self.blocks.append(child)
-        self.open.append((tag, child, False))
+        self._push(tag, child, False)
         self.block = child
 
     def parse_comment(self, i: int, report: bool = True) -> int:
@@ -151,35 +161,43 @@ class _Tree(HTMLParser):
             self._close(*CLOSES[tag])
         self._close({"p"}, {"table", "td", "th", "li", "div", "section", "article", "blockquote", "main"})
 
+    def _push(self, tag: str, block: Block | None, skipped: bool) -> None:
+        self.places[tag].append(len(self.open))
+        if tag not in INLINE:
+            self.outer.append(len(self.open))
+        self.open.append((tag, block, skipped))
+
+    def _last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
     def _close(self, tags: set[str], stops: set[str]) -> None:
-        found = None
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] in tags:
-                found = at  # a row's opening ends the cell and the row around it
-            elif self.open[at][0] in stops:
-                break
-        if found is not None:
-            self._pop_to(found)
+        """Close the outermost of these elements that lies within the last stop: a row's opening ends cell and row."""
+        stop = max(map(self._last, stops))
+        found = [places[i] for tag in tags if (places := self.places.get(tag)) and (i := bisect_right(places, stop)) < len(places)]
+        if found:
+            self._pop_to(min(found))
 
     def _pop_to(self, at: int) -> None:
-        outermost = next((block for _, block, _ in self.open[at:] if block is not None), None)
+        outermost = None
+        while len(self.open) > at:
+            tag, block, skipped = self.open.pop()
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.outer.pop()
+            self.in_link -= tag == "a" and not skipped
+            outermost = block or outermost
         if outermost is not None:
             self.block = outermost.parent or self.root
-        self.in_link -= sum(tag == "a" and not skipped for tag, _, skipped in self.open[at:])
-        del self.open[at:]
         if self.skip is not None and at <= self.skip:
             self.skip = None
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br" and self.skip is None:
             self.block.items.append(" ")
-        inline = tag in INLINE
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self._pop_to(at)
-                return
-            if inline and self.open[at][0] not in INLINE:
-                return
+        at = self._last(tag)
+        if at >= 0 and (tag not in INLINE or not self.outer or at > self.outer[-1]):
+            self._pop_to(at)
 
     def handle_data(self, data: str) -> None:
         if self.skip is not None:
@@ -199,9 +217,8 @@ def _doubt(tag: str, names: set[str], attrs: list[tuple[str, str | None]], hidde
         return ""
     if tag == "article":
         # Within an article or comments, an article is what a reader said.
-        while parent is not None and parent.tag != "article" and parent.doubt != "said":
-            parent = parent.parent
-        return "said" if parent is not None and found & SAID else ""
+        inside = parent.inside or parent.tag == "article" or parent.doubt == "said"
+        return "said" if inside and found & SAID else ""
     if found & SAID:
         return "said"
     other = {w for key, value in attrs if value and key in ("class", "role") for w in _WORDS.findall(value.lower())}
@@ -294,7 +311,7 @@ def _measure(tree: _Tree) -> None:
         if not points:
             continue
         above, level = block if block.parent is None else block.parent, 0
-        while above is not None:
+        while above is not None and level < LEVELS:
             if above.score is None:
                 above.score = _start(above)
             above.score += points / (1, 2, 6)[level] if level < 3 else points / (3 * level)
@@ -324,10 +341,11 @@ def _kept(tree: _Tree) -> list[Block]:
     if best.parent is None:
         return [best]
     least = max(10.0, 0.2 * _rank(best))
-    kept = []
+    kept, before = [], True
     for block in (x for x in best.parent.items if isinstance(x, Block)):
         paragraph = block.tag == "p" and block.chars > 80 and block.links < 0.25 * block.chars
-        heading = block.tag in ("h1", "h2") and not any(b is best for b in kept)
+        heading = block.tag in ("h1", "h2") and before
+        before = before and block is not best
         if block is best or paragraph or heading or _rank(block) >= least:
             kept.append(block)
     return kept
