@@ -1,11 +1,12 @@
 """Quality rules, line first; SQL functions only.
 
-Each line is judged by itself: how it ends, marks, separators of menus, boilerplate phrases, shouting, and
-whether an earlier line is equal. Failed lines are removed, and a document goes if it loses more than half of
-the characters in its words, or if it fails the base rules (few words, or repeated three-word windows).
+Each line is judged by itself: marks, separators of menus, shouting, whether an earlier line is equal, and, if it
+is short, how it ends and whether it has a boilerplate phrase. A long line is prose: it may lack its last full stop, or
+name what a phrase names. Failed lines are removed, and a document goes if it loses more than half of the characters in
+its words, or if it fails the base rules (few words, or repeated three-word windows).
 
-Edge cases: a null text counts as empty: no words, rejected. Lines without a word are kept and count for
-nothing. Repeated rows are judged alike; nothing depends on other rows, so an empty table gives an empty
+Edge cases: a null text counts as empty: no words, rejected. Lines without a word are kept, as empty lines, and count
+for nothing. Repeated rows are judged alike; nothing depends on other rows, so an empty table gives an empty
 result. Very long texts are one value of one row and need memory in proportion to their words.
 """
 
@@ -21,19 +22,22 @@ MIN_WORDS = 50
 #: Percent of words in repeated windows, and of word characters lost, from which a document goes (if above).
 MOST_REPEATED = 50
 MOST_LOST = 50
-#: Fixed phrases of boilerplate lines, searched in lower case.
+#: Characters in words from which a line is long.
+LONG_LINE = 120
+#: Fixed phrases of boilerplate lines, searched in lower case as whole words.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "released under the", "privacy policy", "terms of use", "terms of service",
     "cookie", "javascript", "lorem ipsum", "click here", "subscribe to", "sign up", "log in", "read more",
 )
 #: What ends a sentence, what may follow it, separators of menus, and all characters that are counted.
-ENDS, CLOSERS = (".", "!", "?", "…", ":", ";"), "\"'’”»)]"
+ENDS, CLOSERS = (".", "!", "?", "…", ":", ";", "。", "！", "？", "．", "：", "；", "؟", "۔", "।", "॥", "።"), "\"'’”»)]」』）】"
+PHRASES = "(^|[^a-z])(" + "|".join(BOILERPLATE) + ")([^a-z]|$)"
 MENU, SHOUTS, COUNTED = "[|»›•]", "[!?]", "[^#*$%&|<>»›•!?A-Z]+"
 
 
 def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, carried columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lines) of
-    each row; lines: those with a word, without repeats.
+    each row; lines: without repeats, those without a word marked by a line feed and their place.
 
     Three-word windows are packed into one long each: the upper bits of a hash and, below them, the place.
     Sorted, equal windows lie side by side; only places found that way are compared by their real words.
@@ -64,7 +68,9 @@ def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", c
         F.transform("at", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("at", i + 1) - p, F.lit(3)))),
         F.lit(0), lambda a, b: a + b,
     )
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
+    lines = F.transform(
+        F.split("text", "\n"), lambda x, i: F.when(x.rlike(WORD), x).otherwise(F.concat(F.lit("\n"), i.cast("string")))
+    )
     distinct = repeated.withColumn("_lines", lines).withColumn("lines", F.array_distinct("_lines"))
     measured = distinct.select(
         "doc_id", "own", "lines",
@@ -81,11 +87,16 @@ def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", c
 
 
 def good_lines(lines: Column) -> Column:
-    """The lines that pass, as an array of (line, size), size being the characters in words.
+    """The lines that pass and those without a word, as an array of (line, size), size being the characters in words.
 
     Each line is read a fixed number of times: `rest` keeps only the few characters that the rules count.
     """
-    solid = F.transform(lines, lambda x: F.struct(x.alias("line"), F.regexp_replace(x, SPACES, "").alias("solid")))
+    def blank(x: Column) -> Column:
+        return F.startswith(x, F.lit("\n"))
+
+    solid = F.transform(lines, lambda x: F.struct(
+        F.when(blank(x), "").otherwise(x).alias("line"), F.when(blank(x), "").otherwise(F.regexp_replace(x, SPACES, "")).alias("solid"),
+    ))
     parts = F.transform(solid, lambda x: F.struct(
         x["line"].alias("line"), F.length(x["solid"]).alias("size"),
         F.substring(F.rtrim(x["solid"], F.lit(CLOSERS)), -1, 1).alias("end"),
@@ -95,19 +106,12 @@ def good_lines(lines: Column) -> Column:
     def count(x: Column, pattern: str) -> Column:
         return F.length(x["rest"]) - F.length(F.regexp_replace(x["rest"], pattern + "+", ""))
 
-    def phrase(x: Column) -> Column:
-        lower, found = F.lower(x["line"]), F.lit(False)
-        for text in BOILERPLATE:
-            found = found | F.contains(lower, F.lit(text))
-        return found
-
-    return F.filter(parts, lambda x: ~(
-        ~x["end"].isin(*ENDS)
+    return F.filter(parts, lambda x: (x["size"] == 0) | ~(
+        ((x["size"] < LONG_LINE) & (~x["end"].isin(*ENDS) | F.lower(x["line"]).rlike(PHRASES)))
         | (10 * count(x, SYMBOLS) > x["size"])
         | (10 * count(x, SHOUTS) > x["size"])
         | (count(x, MENU) >= 3)
         | ((x["size"] >= 20) & (2 * count(x, "[A-Z]") > x["size"]))
-        | phrase(x)
     ))
 
 
@@ -145,7 +149,6 @@ def _size_sql(pattern: str) -> str:
 
 def kept_sql(source: str) -> str:
     """DuckDB SQL for the measures and the verdict on each row of a table with doc_id and text."""
-    phrases = " OR ".join(f"contains(lower(x), '{p}')" for p in BOILERPLATE)
     size = f"length(regexp_replace(x, '{SPACES}', '', 'g'))"
     closers, ends = CLOSERS.replace("'", "''"), ", ".join(f"'{x}'" for x in ENDS)
     word = WORD
@@ -155,9 +158,10 @@ def kept_sql(source: str) -> str:
   FROM (
     SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
       [x FOR x IN lines IF regexp_matches(x, '{word}') AND NOT (
-        right(rtrim(regexp_replace(x, '{SPACES}', '', 'g'), '{closers}'), 1) NOT IN ({ends})
+        {size} < {LONG_LINE} AND (right(rtrim(regexp_replace(x, '{SPACES}', '', 'g'), '{closers}'), 1) NOT IN ({ends})
+          OR regexp_matches(lower(x), '{PHRASES}'))
         OR 10 * ({_size_sql(SYMBOLS)}) > {size} OR 10 * ({_size_sql(SHOUTS)}) > {size}
-        OR {_size_sql(MENU)} >= 3 OR ({size} >= 20 AND 2 * ({_size_sql("[A-Z]")}) > {size}) OR {phrases})] AS good
+        OR {_size_sql(MENU)} >= 3 OR ({size} >= 20 AND 2 * ({_size_sql("[A-Z]")}) > {size}))] AS good
     FROM (
       SELECT *, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
         CAST(length(body) - length(regexp_replace(body, '{SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
