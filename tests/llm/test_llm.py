@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -268,6 +269,19 @@ def test_packing_covers_every_id_once(spark, odd):
     assert all(sum(packing.piece_lengths(n)) == n for n in range(1, 9000, 7))
 
 
+@pytest.mark.parametrize("page", [
+    lambda n: "<span>x" * n + "</p>" * n, lambda n: "<div>some text, " * n, lambda n: "<b><div>" + "<span>" * n + "</b>" * n,
+    lambda n: "<table>" + "<tr><td>cell, of a table that never ends " * n, lambda n: "<ul>" + "<li>item" * n + "</b>" * n,
+    lambda n: "<article class=comment>" * n + "x" * 200, lambda n: "<div><p>one</p>" + "<h2>two</h2>" * n + "</div>",
+])
+def test_the_work_on_a_page_goes_with_its_length(page):
+    """2 MB of nested or unclosed elements in a few seconds."""
+    text = page(100)
+    started = time.process_time()
+    html_text.main_text(page(2_000_000 * 100 // len(text)))
+    assert time.process_time() - started < 12
+
+
 def test_packed_files_round_trip(spark, odd, sf_dir):
     want = packing.pack(odd, tokens.default_path())
     got = packing.packed(odd, tokens.default_path())
@@ -344,6 +358,27 @@ def test_quality_rules_on_odd_rows(spark, odd):
     assert cleaned.text == good and cleaned.n_chars == len(good)
 
 
+PROSE = " ".join(f"some{i} words{i} of{i} a{i} paragraph{i}" for i in range(20))
+
+
+@pytest.mark.parametrize("text", [
+    PROSE, PROSE + " 。", PROSE + " with a cookie in it.", PROSE + " see the catalog in print.", "。".join("漢字の文" * 3 + f" {i}" for i in range(60)) + "。",
+])
+def test_rules_leave_prose_alone(spark, text):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert rules.judge_quality(docs).first().kept
+    assert not rules.judge_quality(docs.withColumn("text", F.lit("\n".join(["Sign up for our cookie letter"] * 9 + [f"Log in {i}" for i in range(20)])))).first().kept
+
+
+def test_rules_keep_blank_lines(spark):
+    lines = [f"Line{i} tells of{i} some{i} other{i} things{i} again{i}." for i in range(12)]
+    text = "\n\n".join(lines[:6]) + "\n \t\n\n" + "\n".join(lines[6:]) + "\nHome | News | Sport | About\n" + lines[0]
+    docs = spark.createDataFrame([(1, text, 0)], "doc_id long, text string, n_chars long")
+    got = rules.cleaned_documents(docs).first()
+    assert got.text == "\n\n".join(lines[:6]) + "\n\n\n" + "\n".join(lines[6:]) and got.n_chars == len(got.text)
+    assert rules.judge_quality(docs).first().n_dup_lines == 1
+
+
 def brute_components(rows, words, percent):
     sets = []
     for _, text in rows:
@@ -467,6 +502,21 @@ def test_mix_of_odd_rows(spark, odd):
     assert mixing.mixed_documents(odd.limit(0)).count() == 0
 
 
+def test_mix_of_one_id_and_clashing_columns(spark):
+    """A thousand rows without an id are taken one by one; columns named like the plan's keep their values."""
+    rows = [(None, f"text {i} has some words " + "more " * (i % 7), "a", -1.5, "mine", 7) for i in range(1000)]
+    rows += [(i, "other " * 900, "b", -2.5, "yours", 8) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, target double, hash string, source_size int")
+    plan = mixing.plan_mix(mixing.sized_documents(docs).select("source", "size", "hash"))
+    goals = {r.source: r.target for r in plan.sources.collect()}
+    found = mixing.mixed_documents(docs)
+    assert found.columns == docs.columns
+    taken = found.collect()
+    for source, goal in goals.items():
+        assert sum(len(r.text.split()) for r in taken if r.source == source) == pytest.approx(goal, rel=0.02)
+    assert {(r.source, r.target, r.hash, r.source_size) for r in taken} == {("a", -1.5, "mine", 7), ("b", -2.5, "yours", 8)}
+
+
 def test_mix_of_capped_sources_takes_empty_documents_no_third_time(spark):
     rows = [(i, "" if i % 2 else "some words here", "a") for i in range(200)] + [(i, "word " * 900, "b") for i in range(200, 300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

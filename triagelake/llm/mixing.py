@@ -8,8 +8,9 @@ which is taken if that brings the sum nearer to the budget. Nothing is sorted, a
 same source takes everything that a smaller one takes.
 
 Edge cases: null text or no words give size 0. A null source is a source of its own, last in order; a null
-id hashes like an empty one. Rows with the same id share a hash and are taken together. Sources without
-words have target 0. Empty tables give empty results.
+id hashes like an empty one. The hash is of id and text, so rows that share an id alone are taken one by one; rows
+equal in both are taken together. Sources without words have target 0. Empty tables give empty results. Columns of
+the documents keep their names and values, whatever they are called.
 """
 
 from __future__ import annotations
@@ -29,9 +30,13 @@ SHARE = 1.5
 MOST = 2
 
 
-def hash_of(doc_id: Column) -> Column:
-    """60 bits of the id's md5."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+def hash_of(doc_id: Column, text: Column) -> Column:
+    """60 bits of the md5 of the id and the text's own."""
+    def blank(col: Column) -> Column:
+        return F.coalesce(col.cast("string"), F.lit(""))
+
+    whole = F.concat(blank(doc_id), F.lit("/"), F.md5(blank(text).cast("binary")))
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
@@ -69,12 +74,11 @@ class Mix:
 
     sources: DataFrame
 
-    def copies(self, docs: DataFrame, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-        """Add _copies, source_size and target to each document."""
+    def copies(self, docs: DataFrame) -> DataFrame:
+        """Add _copies, source_size and target to documents that have source and hash."""
         plan = self.sources.select(F.col("source").alias("_source"), "source_size", "target", "every", "below")
-        kept = docs.drop("source_size", "target")
-        return kept.join(plan, kept[source].eqNullSafe(plan["_source"]), "left").withColumn(
-            "_copies", F.col("every") + (hash_of(F.col(doc_id)) < F.col("below")).cast("int")
+        return docs.join(plan, docs["source"].eqNullSafe(plan["_source"]), "left").withColumn(
+            "_copies", F.col("every") + (F.col("hash") < F.col("below")).cast("int")
         ).drop("_source", "every", "below")
 
 
@@ -133,17 +137,19 @@ def sized_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, source, size, hash), stored, so that the texts are read once."""
     return materialize(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), sql_n_words(F.col(text)).alias("size"),
-        hash_of(F.col(doc_id)).alias("hash"),
+        hash_of(F.col(doc_id), F.col(text)).alias("hash"),
     ), "mix-sizes")
 
 
 def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their own columns."""
     plan = plan_mix(sized_documents(docs).select("source", "size", "hash"), **options)
-    names = docs.columns
-    return plan.copies(docs).where("_copies > 0").withColumn(
+    carried = docs.select(
+        F.struct(*docs.columns).alias("own"), "source", hash_of(F.col("doc_id"), F.col("text")).alias("hash")
+    )
+    return plan.copies(carried).where("_copies > 0").withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    ).select(*names)
+    ).select("own.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +163,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP10_SQL = """
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS hash
   FROM documents
 ), totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k
