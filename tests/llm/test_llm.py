@@ -527,6 +527,17 @@ def test_mix_of_capped_sources_takes_empty_documents_no_third_time(spark):
     assert len(taken) == 200 and set(taken.values()) == {2}
 
 
+def test_stages_keep_clashing_columns(spark, odd, sf_dir):
+    """Documents with columns named like the stages' own come out of each stage with their own values and types."""
+    clash = odd.withColumns({"score": F.lit("mine"), "predicted": F.lit(9.5), "target": F.lit("t"), "source_size": F.lit(None).cast("string"),
+                             "hash": F.lit(True), "kept": F.lit("k"), "own": F.lit(1)})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, clash, sf_dir)
+        assert found.dtypes == clash.dtypes, name
+        assert {(r.score, r.predicted, r.target, r.source_size, r.hash, r.kept, r.own) for r in found.collect()} <= {("mine", 9.5, "t", None, True, "k", 1)}, name
+        assert stage(spark, clash.limit(0), sf_dir).collect() == [], name
+
+
 def test_pipeline_stages(spark, sf_dir, docs):
     found, names = docs, docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -5,7 +5,7 @@ characters and words; gated attention a = softmax(w . (tanh(V h) * sigmoid(U h))
 score is sigmoid(u . sum(a h) + c). All parameters are learnt together from document labels alone.
 
 Training reads a bounded sample of labelled documents, encoded by tasks and fitted on the driver; the bounds are
-`most_documents` and, for training only, `most_passages` of one document, spread evenly over it. Scoring reads
+`most_documents`, with all their passages. Scoring reads
 every passage of every document.
 
 Edge cases: null texts count as empty; a text without words is one passage of zeros, so it has a score too. Null
@@ -30,7 +30,6 @@ from triagelake.llm.common import BLOCK, column_of, table, utf8, word_hashes
 PASSAGE = 64
 THRESHOLD = 0.3
 MOST_DOCUMENTS = 6_000
-MOST_PASSAGES = 64
 HIDDEN, GATE = 24, 12
 
 #: Kinds of bytes that are counted: their shares are the first measures of a passage.
@@ -178,8 +177,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMENTS, most_passages: int = MOST_PASSAGES,
-          doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> Model:
+def train(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMENTS, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> Model:
     """A model from the labels that are not held out; of more than `most_documents`, those with the smallest id hash."""
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(quality).alias("quality")).where(
         "doc_id is not null and quality is not null"
@@ -192,10 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, most_documents: int = MOST_DOCUMEN
         for batch in batches:
             bags = []
             for raw in utf8(column_of(batch, "text")):
-                bag = passages(raw)
-                if len(bag) > most_passages:
-                    bag = bag[np.linspace(0, len(bag) - 1, most_passages).astype(int)]
-                bags.append(bag.astype(np.float32).tobytes())
+                bags.append(passages(raw).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [column_of(batch, "doc_id"), column_of(batch, "quality"), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"]
             )
@@ -223,6 +218,18 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
     return carried.mapInArrow(run, schema)
 
 
+def good_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The documents with a predicted label of 1, with their own columns, whatever these are called."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = np.array([model.score(passages(raw)) for raw in utf8(column_of(batch, "text"))], dtype=float)
+            keep = pa.array(scores >= threshold, pa.bool_())
+            yield pa.RecordBatch.from_arrays([column_of(batch, "own").filter(keep)], names=["own"])
+
+    carried = docs.select(F.struct(*docs.columns).alias("own"), F.col(text).alias("text"))
+    return carried.mapInArrow(run, carried.select("own").schema).select("own.*")
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a model that learnt from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
