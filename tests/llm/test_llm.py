@@ -282,6 +282,19 @@ def test_the_work_on_a_page_goes_with_its_length(page):
     assert time.process_time() - started < 12
 
 
+def test_encoder_equals_the_library_on_any_characters(monkeypatch):
+    """Random texts of letters of all kinds, digits, marks, white space, broken and special tokens, in calls of any size."""
+    ids, draw = reference_ids(tokens.default_path()), np.random.default_rng(11)
+    pieces = ["a", "b", "the", "Z", "É", "é", "ß", "÷", "×", "ÿ", "Þ", "İ", "'", "'s", "1", "23", ".", ",", "--", "<", "|", "<|endoftext|>",
+              "<|ENDOFTEXT|>", "漢", "ﬁ", "\u0301", "\u00a0", "\x0b", "\x1c", "\x00", "\u2028", "😀", "ª", "_", " ", " ", " ", "\n", "\t\r", "  "]
+    texts = ["".join(draw.choice(pieces, draw.integers(0, 30))) for _ in range(1500)] + ["", None, " ", "\n\n", "x"]
+    want = [ids(x)[:-1] for x in texts]
+    for at_once in (1, 200, 1 << 20):
+        monkeypatch.setattr(tokens, "AT_ONCE", at_once)
+        got = [np.frombuffer(x, dtype="<u4").tolist() for x in tokens.Encoder(tokens.default_path()).encode(texts)]
+        assert [i for i, (x, y) in enumerate(zip(got, want, strict=True)) if x != list(y)] == []
+
+
 def test_packed_files_round_trip(spark, odd, sf_dir):
     want = packing.pack(odd, tokens.default_path())
     got = packing.packed(odd, tokens.default_path())
