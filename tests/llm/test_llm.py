@@ -415,9 +415,10 @@ def brute_components(rows, words, percent):
     return [(doc_id, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None)) for i, (doc_id, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("percent", "width"), [(85, 3), (60, 100)])
-def test_join_finds_every_component(spark, odd, percent, width, monkeypatch):
+@pytest.mark.parametrize(("percent", "width", "few"), [(85, 3, 0), (60, 100, 1000)])
+def test_join_finds_every_component(spark, odd, percent, width, few, monkeypatch):
     monkeypatch.setattr(ngram_join, "SLICE", width)
+    monkeypatch.setattr(ngram_join, "FEW_LINKS", few)
     draw = np.random.default_rng(3)
     rows = [(r[0], r[1]) for r in ROWS]
     base = [f"w{i}" for i in range(60)]
@@ -435,6 +436,18 @@ def test_join_finds_every_component(spark, odd, percent, width, monkeypatch):
     assert len({r.doc_id for r in kept.collect()} & shown) == len(shown)
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components_of_paths_stars_and_rings(spark, few, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FEW_LINKS", few)
+    draw = np.random.default_rng(5)
+    groups = [[draw.permutation(40).tolist()], [list(range(100, 130))], [[200, x] for x in range(201, 260)], [[300, 301, 302, 300], [302, 299]]]
+    links = [(a, b) for group in groups for path in group for a, b in zip(path, path[1:], strict=False)]
+    frame = spark.createDataFrame([links[i] for i in draw.permutation(len(links))], "a long, b long").repartition(4)
+    got = {r.node: r.label for r in ngram_join.components(frame).collect()}
+    want = {x: min(min(path) for path in group) for group in groups for path in group for x in path}
+    assert got == want
+
+
 def test_join_of_nothing(spark, odd):
     assert ngram_join.near_duplicates(odd.limit(0)).count() == 0
     assert ngram_join.one_of_each(odd).columns == odd.columns

@@ -19,6 +19,9 @@ its square; no pair of different components that meets in a short list is left u
 A list may hold a large share of all rows. Lists of more than 1/HOT of all members, of which there are at most HOT,
 are cut into slices by a hash of the node, so every join over lists deals a long one out to many tasks.
 
+Rounds work on components, not on nodes: a round's links join the components of the rounds before, so what is
+propagated is that round's links alone. Texts of the nodes that any round may compare are fetched once, in the first.
+
 Each set has a bit array in which every shingle flips one bit. Two arrays differ in no more bits than their sets do
 in elements, so pairs whose arrays differ in too many are dropped before any text is fetched.
 
@@ -48,8 +51,6 @@ WORDS = 4
 PERCENT = 85
 #: Classes of the count of shingles: 8 million, one byte each where it is used.
 COUNT_BITS = 23
-#: Bits of the array that tells which texts may be needed.
-FILTER_BITS = 23
 #: Each round takes so many times the pivots of the one before.
 MORE = 8
 #: Members of a list, for each pivot, up to which all its pairs are taken.
@@ -59,6 +60,10 @@ HOT = 1000
 SLICE = 100
 #: Bits of the array that bounds what two sets share.
 FLIP_BITS = 512
+#: Links of a round up to which one task joins them (16 MB); more are joined by steps over all tasks.
+FEW_LINKS = 1_000_000
+#: A row's tag: two hashes of id and text from different starts.
+TAG = "struct<x:bigint,y:bigint>"
 
 
 def shingle_set(raw: np.ndarray, words: int = WORDS) -> np.ndarray:
@@ -73,10 +78,8 @@ def least_overlap(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 def list_lengths(docs: DataFrame, words: int = WORDS, bits: int = COUNT_BITS) -> np.ndarray:
     """For each class of shingles the binary logarithm of its number of documents, one byte each."""
     def count(batch: pa.RecordBatch, held: dict[str, np.ndarray]) -> None:
-        classes = [shingle_set(raw, words) >> np.uint64(64 - bits) for raw in utf8(column_of(batch, "text"))]
-        values, counts = np.unique(np.concatenate(classes), return_counts=True) if classes else ([], [])
-        if len(values):
-            held["n"][values.astype(np.int64)] += counts.astype(np.uint32)
+        for raw in utf8(column_of(batch, "text")):
+            np.add.at(held["n"], (shingle_set(raw, words) >> np.uint64(64 - bits)).astype(np.intp), np.uint32(1))
 
     parts = count_parts(docs.select("text"), ["n"], 1 << bits, count)
     total = merged_counts(parts, 1 << bits, ["n"])["n"]
@@ -114,7 +117,7 @@ def _sets(docs: DataFrame, lengths: np.ndarray, words: int, bits: int, percent:
                 )
 
     return docs.select("row", "doc_id", "tag", "text").mapInArrow(
-        run, "row long, doc_id long, tag long, n long, key binary, flips array<long>, short array<long>"
+        run, f"row long, doc_id long, tag {TAG}, n long, key binary, flips array<long>, short array<long>"
     )
 
 
@@ -150,13 +153,13 @@ def _open(members: DataFrame) -> DataFrame:
 
 
 def _candidates(open_: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """Distinct (a, b, size): pairs of one list in different components whose sizes and places allow the similarity.
+    """Distinct (a, b, la, lb, size): pairs of one list in different components whose sizes and places allow the similarity.
 
     `at` is a shingle's place in its set's order. A pair's first common shingle has all others behind it, so no more
     can be shared than is left in either set from there on; a similar pair passes this test in that list.
 
     Lists of up to WHOLE members for each pivot give all their pairs, others the pairs of so many of their nodes, the
-    smallest of each salt. size is that of both sets together.
+    smallest of each salt. la and lb are the components, the smaller first; size is that of both sets together.
     """
     left, right = ([("node", x), ("n", f"n{x}"), ("at", f"t{x}"), ("label", f"l{x}")] for x in "ab")
     whole, long = open_.where(F.col("k") <= WHOLE * pivots), open_.where(F.col("k") > WHOLE * pivots)
@@ -171,23 +174,23 @@ def _candidates(open_: DataFrame, pivots: int, percent: int) -> DataFrame:
     size = F.col("na") + F.col("nb")
     fits = (100 + percent) * F.least(F.col("na") - F.col("ta"), F.col("nb") - F.col("tb")) >= percent * size
     return met.where((F.col("la") != F.col("lb")) & fits).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), size.alias("size")
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("la", "lb").alias("la"), F.greatest("la", "lb").alias("lb"),
+        size.alias("size"),
     ).distinct()
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose bit arrays allow the similarity; size - differing bits is twice what they can share."""
+    """(a, b, la, lb, possible): whether bit arrays allow the similarity; size - differing bits is twice what two sets can share."""
     sides = [sets.select(F.col("row").alias(x), F.col("flips").alias(f"flips_{x}")) for x in "ab"]
     differ = F.aggregate(
         F.zip_with("flips_a", "flips_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
     )
-    return pairs.join(sides[0], "a").join(sides[1], "b").where(
-        (100 + percent) * (F.col("size") - differ) >= 2 * percent * F.col("size")
-    ).select("a", "b")
+    possible = (100 + percent) * (F.col("size") - differ) >= 2 * percent * F.col("size")
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "la", "lb", possible.alias("possible"))
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that reach the overlap. Each pair's texts are met row by row; no group is gathered."""
+    """The distinct (la, lb) of the pairs that reach the overlap. Each pair's texts are met row by row; no group is gathered."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, np.ndarray] | None = None
         for batch in batches:
@@ -197,11 +200,11 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                     last = a, shingle_set(raw_a, words)
                 keep.append(overlaps(last[1], shingle_set(raw_b, words), percent))
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([column_of(batch, "a").filter(mask), column_of(batch, "b").filter(mask)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([column_of(batch, x).filter(mask) for x in ("la", "lb")], names=["a", "b"])
 
     sides = [texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b")]
     full = pairs.join(sides[1], "b").join(sides[0], "a")
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return full.select("a", "la", "lb", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
 def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -216,12 +219,38 @@ def overlaps(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label): the smallest node reachable over links (a, b), by hooking larger labels onto smaller ones.
-
-    Each step sends every node's smallest neighbouring label to its label and then shortens paths by one jump, so
-    the number of steps grows with the logarithm of the longest path for the shapes met here. Steps are stored.
+def joined(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of the links (a, b), each once, and the smallest end that each is joined to."""
+    ends, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    left, right = at[:len(a)], at[len(a):]
+    root = np.arange(len(ends))
+    while True:
+        low, high = np.minimum(root[left], root[right]), np.maximum(root[left], root[right])
+        apart = low != high
+        if not apart.any():
+            return ends, ends[root]
+        np.minimum.at(root, high[apart], low[apart])
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label) of every end of the stored links (a, b): the smallest end reachable.
+
+    Up to FEW_LINKS links, which are counted first, are joined by one task. More are joined by hooking larger labels
+    onto smaller ones: each step sends every end's smallest neighbouring label to its label and then shortens paths by
+    one jump, so the number of steps grows with the logarithm of the longest path for the shapes met here. Steps are
+    stored.
     """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [pa.Table.from_batches([batch]) for batch in batches]
+        if parts:
+            all_ = pa.concat_tables(parts)
+            ends, root = joined(all_["a"].to_numpy(), all_["b"].to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), pa.array(root, pa.int64())], names=["node", "label"])
+
+    if links.count() <= FEW_LINKS:
+        return materialize(links.select("a", "b").coalesce(1).mapInArrow(run, "node long, label long"), "labels")
     both = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     touched = materialize(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
     while True:
@@ -236,11 +265,15 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         jump = stored.select(F.col("node").alias("label"), F.col("label").alias("next"))
         touched = materialize(stored.join(jump, "label", "left").select("node", F.coalesce("next", "label").alias("label"), "moved"), "labels")
         if touched.where("moved").isEmpty():
-            break
+            return touched.select("node", "label")
         touched = touched.select("node", "label")
-    return nodes.select("node").join(touched.select("node", "label"), "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label")
-    )
+
+
+def _relabelled(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the labels that their labels have become."""
+    return df.join(labels.select(F.col("node").alias("label"), F.col("label").alias("_new")), "label", "left").withColumn(
+        "label", F.coalesce("_new", "label")
+    ).drop("_new")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text",
@@ -248,7 +281,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     """(row, doc_id, tag, n_shingles, component_id, keeper) of each row.
 
     component_id is the smallest id of all rows reachable by links; keeper marks one row of each component, one with
-    that id. Rows without shingles are their own component. tag is a hash of id and text.
+    that id. Rows without shingles are their own component. tag names id and text.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
@@ -262,25 +295,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     postings = filled.select(F.col("row").alias("node"), F.posexplode("short").alias("at", "shingle"))
     lists = materialize(_lists(postings, nodes), "lists")
     members = lists.withColumn("label", F.col("node"))
-    met = labels = found = tested = None
+    labels = tested = texts = None
     pivots = 1
     while True:
         open_ = materialize(_open(members), "open")
         if open_.isEmpty():
             break
-        if met is None:
-            met = labels = materialize(open_.select("node", F.col("node").alias("label")).distinct(), "labels")
+        later = open_.where(F.col("k") > WHOLE * pivots).drop("k")
         fresh = _candidates(open_, pivots, percent)
         if tested is not None:
             fresh = fresh.join(tested, ["a", "b"], "left_anti")
-        fresh = materialize(fresh, "pairs")
+        fresh = materialize(_possible(fresh, sets, percent), "pairs")
         tested = fresh.select("a", "b") if tested is None else tested.unionByName(fresh.select("a", "b"))
-        pairs = materialize(_possible(fresh, sets, percent), "possible")
-        linked = materialize(_linked(pairs, _texts(rows, pairs, nodes), words, percent), "linked")
+        pairs = fresh.where("possible")
+        if texts is None:
+            # Only members of these lists can be in pairs of later rounds.
+            needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(later.select("node")).distinct()
+            texts = materialize(_texts(rows, needed, nodes), "texts")
+        linked = materialize(_linked(pairs, texts, words, percent), "linked")
+        members = later
         if not linked.isEmpty():
-            found = linked if found is None else found.unionByName(linked)
-            labels = materialize(components(met, found), "components")
-        members = open_.where(F.col("k") > WHOLE * pivots).drop("label", "k").join(labels, "node")
+            moved = components(linked)
+            members = _relabelled(members, moved)
+            labels = moved if labels is None else materialize(
+                _relabelled(labels, moved).select("node", "label").unionByName(moved.join(labels, "node", "left_anti")), "labels"
+            )
         pivots *= MORE
     if labels is None:
         labels = nodes.select("node", F.col("node").alias("label"))
@@ -298,29 +337,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     return marked.unionByName(alone)
 
 
-def _tag() -> Column:
-    return F.xxhash64("doc_id", "text")
-
+def _tag(doc_id: Column | str = "doc_id", text: Column | str = "text") -> Column:
+    """Names rows of one id and text, with 128 bits."""
+    return F.struct(F.xxhash64(doc_id, text).alias("x"), F.xxhash64(F.lit(1), doc_id, text).alias("y"))
 
-def _texts(rows: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the nodes in pairs, found again by a hash of id and text.
 
-    A bit array of fixed size (1 MB) over those hashes keeps most other texts out of the shuffle.
-    """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = materialize(nodes.select("node", "tag").join(ids, "node"), "wanted")
-    place = F.shiftright(F.xxhash64("tag"), 64 - FILTER_BITS).bitwiseAND((1 << FILTER_BITS) - 1)
-    words = wanted.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("one"), place.alias("place")).select(
-        "word", F.call_function("shiftleft", F.col("one"), F.pmod("place", F.lit(64)).cast("int")).alias("bits")
-    )
-    blank = rows.sparkSession.range(1 << FILTER_BITS - 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
-    dense = words.unionByName(blank).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    filled = materialize(
-        dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits")), "filter"
-    )
-    bits = filled.select("bits").scalar()
-    maybe = F.getbit(F.get(bits, F.shiftright(place, 6).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
-    found = rows.select("tag", "text").where(maybe).join(wanted, "tag")
+def _texts(rows: DataFrame, needed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the needed nodes, found again by their tags in one more pass over the texts."""
+    wanted = materialize(nodes.select("node", "tag").join(needed, "node"), "wanted")
+    found = rows.select("tag", "text").join(wanted, "tag")
     # Rows that are equal altogether have one tag; one of them serves.
     return found.groupBy("tag", "node").agg(F.first("text").alias("text")).select("node", "text")
 
@@ -332,7 +357,7 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc
     """
     judged = near_duplicates(docs, words, percent, doc_id, text)
     kept = judged.where("keeper").select(F.col("tag").alias("_tag")).distinct()
-    tagged = docs.withColumn("_tag", F.xxhash64(F.col(doc_id).cast("long"), F.col(text)))
+    tagged = docs.withColumn("_tag", _tag(F.col(doc_id).cast("long"), F.col(text)))
     copies = judged.groupBy("tag").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("tag").alias("_tag"))
     found = tagged.join(kept, "_tag", "left_semi")
     repeated = found.join(copies, "_tag", "left_semi").dropDuplicates(["_tag"])
