@@ -20,7 +20,8 @@ A list may hold a large share of all rows. Lists of more than 1/HOT of all membe
 are cut into slices by a hash of the node, so every join over lists deals a long one out to many tasks.
 
 Rounds work on components, not on nodes: a round's links join the components of the rounds before, so what is
-propagated is that round's links alone. Texts of the nodes that any round may compare are fetched once, in the first.
+propagated is that round's links alone. A text is fetched in the first round that compares its node, and kept; a
+round without new nodes does not read the corpus.
 
 Each set has a bit array in which every shingle flips one bit. Two arrays differ in no more bits than their sets do
 in elements, so pairs whose arrays differ in too many are dropped before any text is fetched.
@@ -33,6 +34,7 @@ ids. An empty table gives no rows. Other columns of the input are not carried.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,6 +62,8 @@ HOT = 1000
 SLICE = 100
 #: Bits of the array that bounds what two sets share.
 FLIP_BITS = 512
+#: The bit array that tells which texts may be needed has so many bits for each of them, but at most 8 MB.
+BITS_EACH, MOST_FILTER_BITS = 16, 26
 #: Links of a round up to which one task joins them (16 MB); more are joined by steps over all tasks.
 FEW_LINKS = 1_000_000
 #: A row's tag: two hashes of id and text from different starts.
@@ -308,12 +312,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         fresh = materialize(_possible(fresh, sets, percent), "pairs")
         tested = fresh.select("a", "b") if tested is None else tested.unionByName(fresh.select("a", "b"))
         pairs = fresh.where("possible")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if texts is not None:
+            ends = ends.join(texts, "node", "left_anti")
+        wanted = materialize(nodes.select("node", "tag").join(ends, "node"), "wanted")
+        n_wanted = wanted.count()
+        if n_wanted:
+            got = materialize(_texts(rows, wanted, n_wanted), "texts")
+            texts = got if texts is None else texts.unionByName(got)
+        members = later
         if texts is None:
-            # Only members of these lists can be in pairs of later rounds.
-            needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(later.select("node")).distinct()
-            texts = materialize(_texts(rows, needed, nodes), "texts")
+            pivots *= MORE
+            continue
         linked = materialize(_linked(pairs, texts, words, percent), "linked")
-        members = later
         if not linked.isEmpty():
             moved = components(linked)
             members = _relabelled(members, moved)
@@ -342,10 +353,24 @@ def _tag(doc_id: Column | str = "doc_id", text: Column | str = "text") -> Column
     return F.struct(F.xxhash64(doc_id, text).alias("x"), F.xxhash64(F.lit(1), doc_id, text).alias("y"))
 
 
-def _texts(rows: DataFrame, needed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the needed nodes, found again by their tags in one more pass over the texts."""
-    wanted = materialize(nodes.select("node", "tag").join(needed, "node"), "wanted")
-    found = rows.select("tag", "text").join(wanted, "tag")
+def _texts(rows: DataFrame, wanted: DataFrame, n_wanted: int) -> DataFrame:
+    """(node, text) of the wanted (node, tag), found again by their tags in one more pass over the texts.
+
+    A bit array over the tags keeps most other texts out of the shuffle.
+    """
+    bits = min(max(math.ceil(math.log2(BITS_EACH * n_wanted)), 10), MOST_FILTER_BITS)
+    place = F.shiftrightunsigned(F.xxhash64("tag"), 64 - bits)
+    words = wanted.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("one"), place.alias("place")).select(
+        "word", F.call_function("shiftleft", F.col("one"), F.pmod("place", F.lit(64)).cast("int")).alias("bits")
+    )
+    blank = rows.sparkSession.range(1 << bits - 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    dense = words.unionByName(blank).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    filled = materialize(
+        dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits")), "filter"
+    )
+    held = filled.select("bits").scalar()
+    maybe = F.getbit(F.get(held, F.shiftright(place, 6).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
+    found = rows.select("tag", "text").where(maybe).join(wanted, "tag")
     # Rows that are equal altogether have one tag; one of them serves.
     return found.groupBy("tag", "node").agg(F.first("text").alias("text")).select("node", "text")
 
