@@ -3,7 +3,8 @@
 A cascade answers "is this key listed?" without error for every key it was built over. Level 0 holds the
 listed keys; level 1 the other keys that level 0 lets through; level 2 the listed keys that level 1 lets
 through, and so on until none is left. A key is listed if the first level that rejects it is odd (or if
-none rejects it and the number of levels is odd). Everything is SQL; rows are judged by bit tests alone.
+none rejects it and the number of levels is odd). Everything is SQL; rows are judged by bit tests alone, whatever the
+size of the list: filters beyond a block's size are met block after block, the rows stored in between.
 
 Edge cases: null url or one without `://` has an empty host and path, fits no rule and is not listed.
 Empty hosts and null keys are never listed. An empty list or an empty table gives a cascade without
@@ -26,8 +27,8 @@ from triagelake.session import materialize
 PASSED = 1 / 16
 #: Bits of one shard's level at most; keys are dealt to shards by hash so that this holds.
 SHARD_BITS = 1 << 20
-#: Shards whose filters are inlined as a value (about 1.5 levels of 128 KB each); beyond, rows meet theirs by a join.
-INLINE_SHARDS = 64
+#: Shards whose filters rows carry as one value (about 1.5 levels of 128 KB each); more are met in blocks of so many.
+BLOCK_SHARDS = 64
 
 Rule = tuple[str, str]
 
@@ -83,18 +84,23 @@ class Cascade:
             answer = F.when(~passed, F.lit(at % 2 == 1)).otherwise(answer)
         return answer
 
-    def inline(self) -> Column | None:
-        """All filters as one value, array by shard; None if they are too large for that."""
-        if self.shards > INLINE_SHARDS:
-            return None
+    def block(self, first: int) -> Column:
+        """The filters of BLOCK_SHARDS shards as one value, array by place in the block."""
         rows = F.sort_array(F.collect_list(F.struct("shard", "levels")))
-        return self.stored.agg(F.transform(rows, lambda r: r["levels"]).alias("filters")).scalar()
+        inside = self.stored.where((F.col("shard") >= first) & (F.col("shard") < first + BLOCK_SHARDS))
+        return inside.agg(F.transform(rows, lambda r: r["levels"]).alias("filters")).scalar()
 
 
 def _shard(key: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")
 
 
+def _in_block(key: Column, shards: int, first: int) -> Column:
+    """Whether the key's shard is one of the block's."""
+    shard = _shard(key, shards)
+    return (shard >= first) & (shard < first + BLOCK_SHARDS)
+
+
 def _place(key: Column, level: int, k: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(level), F.lit(k)), F.lit(bits))
 
@@ -185,25 +191,21 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], url: str
     host, path = host_of(F.col(url)), path_of(F.col(url))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judged = pages.withColumns({"host": host, "path": path}).withColumns({"rule": rule, "verdict": verdict})
-    filters = cascade.inline()
-    if filters is not None:
+    judged = judged.withColumn("_bad", F.lit(False))
+    for first in range(0, cascade.shards, BLOCK_SHARDS):
         bad = F.exists(
             suffixes(F.col("host"), most),
-            lambda key: cascade.listed(key, F.get("_filters", _shard(key, cascade.shards))),
+            lambda key: F.when(
+                _in_block(key, cascade.shards, first), cascade.listed(key, F.get("_filters", _shard(key, cascade.shards) - first))
+            ).otherwise(False),
         )
-        return judged.withColumn("_filters", filters).withColumn(
-            "verdict", F.coalesce("verdict", F.when((F.col("host") != "") & bad, "block").otherwise("allow"))
+        if first:
+            # One block at a time: the rows are stored between two.
+            judged = materialize(judged, "judged")
+        judged = judged.withColumn("_filters", cascade.block(first)).withColumn(
+            "_bad", F.col("_bad") | (F.col("verdict").isNull() & (F.col("host") != "") & bad)
         ).drop("_filters")
-    # Filters too large to inline: each distinct host meets its shards' filters, then each page its host's answer.
-    keyed = hosts.select("host", F.explode(suffixes(F.col("host"), most)).alias("_key")).withColumn(
-        "shard", _shard(F.col("_key"), cascade.shards)
-    )
-    answers = keyed.join(cascade.stored, "shard").groupBy("host").agg(
-        F.max(cascade.listed(F.col("_key"), F.col("levels"))).alias("_bad")
-    )
-    return judged.join(answers, "host", "left").withColumn(
-        "verdict", F.coalesce("verdict", F.when(F.col("_bad"), "block").otherwise("allow"))
-    ).drop("_bad")
+    return judged.withColumn("verdict", F.coalesce("verdict", F.when(F.col("_bad"), "block").otherwise("allow"))).drop("_bad")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
