@@ -75,7 +75,7 @@ def test_blocks_of_long_texts_do_not_change_hashes(monkeypatch):
     assert (common.word_hashes(raw(LONG)) == whole).all()
 
 
-def test_url_cascade_is_exact_by_value_and_by_join(spark, monkeypatch):
+def test_url_cascade_is_exact_in_one_block_and_in_several(spark, monkeypatch):
     names = [f"h{i}.example{i % 7}.com" for i in range(3000)]
     listed = spark.createDataFrame([(n,) for n in names if hash_mod(n, 5)] + [(None,), ("",), ("x.org",)], "key string")
     pages = spark.createDataFrame(
@@ -85,7 +85,7 @@ def test_url_cascade_is_exact_by_value_and_by_join(spark, monkeypatch):
     want = {i: "block" if hash_mod(n, 5) else "allow" for i, n in enumerate(names)} | {-1: "allow", -2: "allow", -3: "block", -4: "allow"}
     assert {r.page_id: r.verdict for r in url_filter.judge_urls(pages, listed, []).collect()} == want
     monkeypatch.setattr(url_filter, "SHARD_BITS", 256)
-    monkeypatch.setattr(url_filter, "INLINE_SHARDS", 2)
+    monkeypatch.setattr(url_filter, "BLOCK_SHARDS", 2)
     assert {r.page_id: r.verdict for r in url_filter.judge_urls(pages, listed, []).collect()} == want
     assert url_filter.judge_urls(pages.limit(0), listed, url_filter.RULES).count() == 0
     assert {r.verdict for r in url_filter.judge_urls(pages, listed.limit(0), []).collect()} == {"allow"}
@@ -235,6 +235,22 @@ def test_encoder_keeps_marks_that_lower_case_adds():
     assert [[*np.frombuffer(x, dtype="<u4"), 2] for x in tokens.encoder(path).encode(some)] == [ids(x) for x in some]
 
 
+@pytest.mark.parametrize("hot", ["7", "null", "7 + (1L << 60) + id % 2"])
+def test_id_slices_follow_the_order_and_cut_a_hot_id(spark, hot):
+    rows = spark.range(9000).select(
+        F.expr(f"if(id % 3 = 0, {hot}, id)").cast("long").alias("doc_id"), F.xxhash64("id").alias("order")
+    )
+    number, n = common.id_slices(rows, "doc_id", "order", 30)
+    got = rows.select(number.alias("slice"), "doc_id", "order").collect()
+    got.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.order))
+    numbers = [r.slice for r in got]
+    assert numbers == sorted(numbers) and numbers[0] >= 0 and numbers[-1] < n
+    if "60" not in hot:
+        assert max(Counter(numbers).values()) < 3 * 9000 / 30
+    number, n = common.id_slices(rows.limit(0), "doc_id", "order", 30)
+    assert n == 1 and rows.limit(0).select(number).count() == 0
+
+
 def test_token_files_round_trip(spark, odd):
     ids, path = reference_ids(tokens.default_path()), tokens.default_path()
     folder = scratch_path(spark, "test-tokens")

@@ -120,25 +120,42 @@ def utf8(column: pa.Array) -> Iterator[np.ndarray]:
         yield raw[:0] if nulls is not None and nulls[i] else raw[at[i]:at[i + 1]]
 
 
-def _slice_of(value: Column, bounds: list[float], first: int = 0) -> Column:
-    """Number of bounds at or below the value, by halving."""
-    if not bounds:
-        return F.lit(first)
-    mid = len(bounds) // 2
-    return F.when(value < bounds[mid], _slice_of(value, bounds[:mid], first)).otherwise(
-        _slice_of(value, bounds[mid + 1:], first + mid + 1)
-    )
+#: Ids beyond this may share a double with their neighbours.
+EXACT_DOUBLES = 1 << 53
 
 
-def id_slices(df: DataFrame, column: str, slices: int) -> tuple[Column, int]:
-    """A slice number that follows the order of a numeric column, null first, and the number of slices.
+def _bounds_before(value: Column, bounds: Column, n: int, equal: bool) -> Column:
+    """Number of sorted bounds below the value, equal ones counted or not, by binary search in one array."""
+    steps = [1 << k for k in reversed(range(n.bit_length()))]
 
-    The bounds are quantiles of that column alone, so nothing else is read for them; there are as many as slices.
+    def further(at: Column, step: Column) -> Column:
+        bound = F.get(bounds, at + step - 1)
+        passed = bound <= value if equal else bound < value
+        return F.when(passed, at + step).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
+
+
+def id_slices(df: DataFrame, column: str, order: str, slices: int) -> tuple[Column, int]:
+    """A slice number that follows the order of a whole-number column, null first, then of `order`, a 64-bit hash, and
+    the number of slices.
+
+    The bounds are quantiles of that column alone, so nothing else is read for them; there are as many as slices. An id
+    that fills several slices (it is then several bounds) is cut by its rows' hashes; null is an id like others here.
     """
-    found = df.approxQuantile(column, [i / slices for i in range(1, slices)], 0.2 / slices) if slices > 1 else []
-    bounds = sorted(set(found))
-    value = F.col(column)
-    return F.when(value.isNull(), 0).otherwise(_slice_of(value, bounds)).cast("int"), len(bounds) + 1
+    value = F.coalesce(F.col(column).cast("double"), F.lit(float("-inf")))
+    found = df.select(value.alias("value")).approxQuantile(
+        "value", [i / slices for i in range(1, slices)], 0.2 / slices
+    ) if slices > 1 else []
+    if not found:
+        return F.lit(0), 1
+    bounds = F.split(F.lit(",".join(map(repr, sorted(found)))).cast("string"), ",").cast("array<double>")
+    below, upto = (_bounds_before(value, bounds, len(found), equal) for equal in (False, True))
+    many = upto - below
+    share = F.floor((F.col(order) / F.lit(2.0**64) + 0.5) * many).cast("int")
+    whole = value.isNotNull() & ((F.abs(value) <= EXACT_DOUBLES) | (value == float("-inf")))
+    cut = F.when(whole & (many > 1), below + 1 + F.least(share, many - 1)).otherwise(upto)
+    return cut.cast("int"), len(found) + 1
 
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:

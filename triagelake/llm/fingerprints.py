@@ -149,7 +149,7 @@ def with_next(docs: DataFrame, slices: int) -> DataFrame:
     Each text is shuffled once; only the copies, one for each slice, travel twice.
     """
     rows = docs.withColumn("order", F.xxhash64("text"))
-    number, n_slices = id_slices(docs, "doc_id", slices)
+    number, n_slices = id_slices(docs, "doc_id", "order", slices)
     sliced = rows.withColumn("slice", number)
     firsts = sliced.groupBy("slice").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id", "order")).alias("head"))
     around = Window.orderBy(F.col("slice").desc())

@@ -66,7 +66,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("order"), F.col(text).alias("text")
     )
-    part, parts = id_slices(rows, "doc_id", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    part, parts = id_slices(rows, "doc_id", "order", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = rows.withColumn("part", part).repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "order")
     ranged.select("part", "doc_id", "order", "text").mapInArrow(
         lambda batches: encoded_batches(batches, tokenizer, end_id), SCHEMA
