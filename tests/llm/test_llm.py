@@ -137,6 +137,7 @@ def test_attention_gradients():
         s = classifier._forward(p, x, starts, of)[0]
         return -(y * np.log(s) + (1 - y) * np.log(1 - s)).mean()
 
+    p["x"] = x
     for name, found in classifier._gradients(p, x, starts, of, y).items():
         flat, at = p[name].reshape(-1), p[name].size // 2
         flat[at] += 1e-5
@@ -147,6 +148,32 @@ def test_attention_gradients():
         assert found.reshape(-1)[at] == pytest.approx((up - down) / 2e-5, abs=1e-6)
 
 
+def test_embedding_gradients():
+    draw = np.random.default_rng(2)
+    table_, words = draw.normal(size=(1 << classifier.ROW_BITS, classifier.DIM)), np.array([2, 0, 3], dtype=np.int32)
+    rows = np.array([[1, 2, 2], [3, 1, 5], [9, 9, 9], [1, 4, 6], [5, 2, 7]], dtype=np.uint16)
+    de = draw.normal(size=(3, classifier.DIM))
+    want = np.zeros_like(table_)
+    for word, passage in enumerate([0, 0, 2, 2, 2]):
+        for at in rows[word]:
+            want[at] += de[passage] / (classifier.LOOKUPS * words[passage])
+    assert classifier._to_embeddings(de, words, rows) == pytest.approx(want)
+    mean = np.stack([table_[rows[a:b].reshape(-1)].sum(0) / max(1, 3 * (b - a)) for a, b in ((0, 2), (2, 2), (2, 5))])
+    assert classifier._embedded(table_, words, rows) == pytest.approx(mean)
+
+
+def test_classifier_learns_words():
+    """Labels that only the words tell: lengths, letters and punctuation have one distribution."""
+    draw = np.random.default_rng(3)
+    names = ["".join(draw.choice(list("abcdefgh"), 6)) for _ in range(400)]
+    made = [" ".join(draw.choice(names[200 * good:200 * good + 200], 150)) for good in [0, 1] * 150]
+    bags, labels = [classifier.passages(raw(t)) for t in made], np.array([0.0, 1.0] * 150)
+    model = classifier.fit(bags[:200], labels[:200])
+    assert np.mean([(model.score(b) >= 0.5) == y for b, y in zip(bags[200:], labels[200:], strict=True)]) > 0.95
+    whole = classifier.passages(raw(made[0]))
+    assert len(whole.rows) == 150 and whole.words.tolist() == [64, 64, 22]
+
+
 def test_page_texts(spark, sf_dir):
     pages = duckdb.sql(f"SELECT page_id, html FROM '{sf_dir}/pages.parquet'").fetchall()
     got = {r.page_id: (r.text, r.n_chars) for r in entry.queries()["op3_main_text"](spark, sf_dir).collect()}
